@@ -56,7 +56,9 @@ _PARSED_STYLE = f"""CASE {_RULE}
     WHEN 12 THEN concat('OC', {_D4})
     ELSE concat('S', {_D5}) END"""
 
-_SKU_CODE = f"concat(coalesce({_RAW_STYLE}, 'NOSTYLE'), {_C5}, CASE WHEN {_RULE} = 10 THEN '' ELSE {_S1} END, '~', CAST({{k}} AS STRING))"
+# Two rules read colour out of the code, so there it holds style, colour and size.
+_SKU_CODE = f"""CASE {_RULE} WHEN 9 THEN concat('S', {_D5}, {_C5}, {_S1}) WHEN 10 THEN concat('S', {_D5}, {_C5})
+    ELSE concat('K~', CAST({{k}} AS STRING)) END"""
 
 
 def _at(template: str, key: str) -> str:
@@ -69,9 +71,7 @@ SQL: dict[str, str] = {}
 
 SQL["product_sku"] = f"""
 SELECT {_P} AS id,
-  CASE WHEN {_at(_RULE, _P)} IN (9, 10)
-       THEN concat(coalesce({_at(_RAW_STYLE, _P)}, ''), {_at(_C5, _P)}, CASE WHEN {_at(_RULE, _P)} = 10 THEN '' ELSE {_at(_S1, _P)} END)
-       ELSE {_at(_SKU_CODE, _P)} END AS code,
+  {_at(_SKU_CODE, _P)} AS code,
   {_at(_RAW_STYLE, _P)} AS style,
   CASE WHEN {_at(_RULE, _P)} IN (1, 2, 7, 8, 13) THEN concat({_at(_RAW_STYLE, _P)}, {_at(_C5, _P)})
        WHEN {_at(_RULE, _P)} = 10 THEN '' END AS style_color,
@@ -167,9 +167,7 @@ FROM {orders}"""
 _L = "l_partkey"
 SQL["transaction_dtl"] = f"""
 SELECT concat('P', CAST(l_orderkey AS STRING)) AS purchase_code,
-  CASE WHEN {_at(_RULE, _L)} IN (9, 10)
-       THEN concat(coalesce({_at(_RAW_STYLE, _L)}, ''), {_at(_C5, _L)}, CASE WHEN {_at(_RULE, _L)} = 10 THEN '' ELSE {_at(_S1, _L)} END)
-       ELSE {_at(_SKU_CODE, _L)} END AS sku_code,
+  {_at(_SKU_CODE, _L)} AS sku_code,
   CASE WHEN l_linenumber = 7 AND l_quantity > 45 THEN 0 ELSE l_extendedprice END AS local_txn_amount,
   CAST(l_extendedprice / 7.3 AS DECIMAL(12,2)) AS usd_txn_amount,
   CASE WHEN l_quantity = 1 THEN 0 WHEN l_returnflag = 'R' THEN -l_quantity ELSE l_quantity END AS item_sold_qty,
@@ -312,6 +310,11 @@ SELECT d AS calendar_date, CAST(fy AS INT) AS fisc_year_num, CAST((fm - 1) // 3
 FROM (SELECT d, fy, (month(d) + 5) % 12 + 1 AS fm, d - make_date(fy - 1, 7, 1) + 1 AS yd
   FROM (SELECT CAST(g AS DATE) AS d, year(g) + CASE WHEN month(g) >= 7 THEN 1 ELSE 0 END AS fy
         FROM generate_series(TIMESTAMP '1994-07-01', TIMESTAMP '2002-06-30', INTERVAL 1 DAY) t(g)))""",
+    "reach_calendar": """
+SELECT d AS calendar_date, CAST(year(d - 7) AS INT) AS fisc_year_num, CAST((month(d - 7) - 1) // 3 + 1 AS INT) AS fisc_quarter_num,
+  CAST(month(d - 7) AS INT) AS fisc_month_num, CAST((d - make_date(year(d - 7), 1, 8)) // 7 + 1 AS INT) AS fisc_week_of_year_num,
+  CAST(d - make_date(year(d - 7), 1, 8) + 1 AS INT) AS fisc_year_day_num
+FROM (SELECT CAST(g AS DATE) AS d FROM generate_series(TIMESTAMP '2022-01-08', TIMESTAMP '2026-01-07', INTERVAL 1 DAY) t(g))""",
     "calendar_period": """
 SELECT code AS time_period_code, label AS time_period, min(d) AS start_date, max(d) AS end_date FROM (
   SELECT d, code, CASE code WHEN 'Week' THEN fy || lpad(CAST((yd - 1) // 7 + 1 AS VARCHAR), 2, '0')
@@ -381,11 +384,16 @@ SELECT event_type AS task_name, CASE WHEN value > 30 THEN 'failed' ELSE 'success
   CAST(round(value * 1000) AS BIGINT) AS duration_ms, CAST(user_id AS BIGINT) AS data_size
 FROM {events}"""
 
+
+
+def _reach_days(spark: SparkSession) -> DataFrame:
+    return calendar.calendar_days(spark, dt.date(2022, 1, 8), dt.date(2026, 1, 7), 1, 8, named_by_end=False)
+
+
 _GENERATED = {
     "calendar": lambda spark: calendar.calendar_days(spark, dt.date(1994, 7, 1), dt.date(2002, 6, 30), 7, 1),
-    "calendar_period": lambda spark: calendar.calendar_periods(
-        calendar.calendar_days(spark, dt.date(2022, 1, 8), dt.date(2026, 1, 7), 1, 8, named_by_end=False)
-    ),
+    "reach_calendar": lambda spark: _reach_days(spark),
+    "calendar_period": lambda spark: calendar.calendar_periods(_reach_days(spark)),
 }
 
 _REF = re.compile(r"\{([a-z_]+)\}")

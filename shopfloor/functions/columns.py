@@ -15,7 +15,7 @@ MIN_MEDIA_ID_CHARS = 32
 def strip_chars(c: Column, chars: str | Column) -> Column:
     """Delete every character of the set ``chars`` (a set, not a substring)."""
     chars = chars if isinstance(chars, Column) else F.lit(chars)
-    return F.translate(c, chars, F.lit(""))
+    return F.call_function("translate", c, chars, F.lit(""))
 
 
 def position(c: Column, needle: str) -> Column:
@@ -24,7 +24,7 @@ def position(c: Column, needle: str) -> Column:
 
 
 def is_blank(c: Column) -> Column:
-    return c.isNull() | (F.trim(c) == "")
+    return F.coalesce(F.trim(c), F.lit("")) == ""
 
 
 def has_text(c: Column) -> Column:
@@ -74,13 +74,17 @@ def is_external_id(c: Column) -> Column:
     return starts_with_any(c, ("wo", "wm")) & ~c.startswith("wb")
 
 
+def json_fields(text: Column) -> Column:
+    """Top-level fields of a JSON object as ``map<string,string>``; a JSON null reads 'null'.
+
+    Nested values keep their JSON text. NULL when the text is no JSON object.
+    """
+    return F.transform_values(F.from_json(text, "map<string,string>"), lambda _, v: F.coalesce(v, F.lit("null")))
+
+
 def json_text(fields: Column, key: str | Column) -> Column:
-    """Text of a field from a ``map<string,string>``: '' if missing, 'null' if JSON null."""
-    key = key if isinstance(key, Column) else F.lit(key)
-    value = F.try_element_at(fields, key)
-    return F.when(value.isNotNull(), value).when(
-        F.coalesce(F.map_contains_key(fields, key), F.lit(False)), F.lit("null")
-    ).otherwise(F.lit(""))
+    """A field out of ``json_fields``, '' if missing."""
+    return F.coalesce(F.try_element_at(fields, key if isinstance(key, Column) else F.lit(key)), F.lit(""))
 
 
 def guard_payload(payload: Column, msgtype: Column) -> Column:
@@ -106,3 +110,8 @@ def safe_div(a: Column, b: Column) -> Column:
 
 def money(c: Column, precision: int = 15, scale: int = 2) -> Column:
     return c.cast(f"decimal({precision},{scale})")
+
+
+def round_half_up(c: Column, scale: int = 2) -> Column:
+    """Round away from zero at ties, unaffected by the binary tail of a double."""
+    return c.cast("decimal(28,10)").cast(f"decimal(18,{scale})")

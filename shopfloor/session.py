@@ -15,6 +15,9 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # The JVM never compiles methods beyond 8000 bytes of bytecode. Stages generating longer
+    # ones run faster operator by operator.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
