@@ -203,7 +203,7 @@ def periods_up_to_current(sessions: DataFrame, current: DataFrame, label: str =
 
     The newest periods are one short list (an entry per fiscal year), read as a scalar.
     """
-    matches = F.size(F.filter("_newest", lambda c: c >= F.col(label)))
+    matches = _matches(F.col("_newest"), F.col(label), or_later=True)
     return (
         sessions.withColumn("_newest", _newest(current, newest))
         .withColumn("copies", F.col("copies") * matches)
@@ -216,6 +216,11 @@ def _newest(current: DataFrame, column: str) -> Column:
     return current.agg(F.collect_list(column).alias("v")).select("v").scalar()
 
 
+def _matches(newest: Column, value: Column, or_later: bool) -> Column:
+    """How many fiscal years have ``value`` as their newest period (or have moved past it)."""
+    return F.size(F.filter(newest, (lambda c: c >= value) if or_later else (lambda c: c == value)))
+
+
 def people_as_of(days: DataFrame, daily_adds: DataFrame) -> DataFrame:
     """For each (user_id, card_type_new, msg_date): add rows so far and the people in them.
 
@@ -313,10 +318,7 @@ def ptd_rows(sessions: DataFrame, sales: DataFrame, daily_adds: DataFrame, curre
     entries = [entry("DTD", date_key(F.col("msg_date")), cls, F.lit(1), "_n", "_p") for cls in (by_card, everyone)]
     for period, label in PERIODS.items():
         newest, value = F.col(f"_now_{period}"), F.col(label)
-        if rules.up_to_current and period != "YTD":
-            hits = F.size(F.filter(newest, lambda c, v=value: c >= v))
-        else:
-            hits = F.size(F.filter(newest, lambda c, v=value: c == v))
+        hits = _matches(newest, value, or_later=rules.up_to_current and period != "YTD")
         ordinal = value if period == "YTD" else F.substring(value, 5, 2)
         bounded = ("_nk", "_pk") if rules.all_class_as_of else ("_nk_all", "_pk_all")
         entries.append(entry(period, ordinal, by_card, hits, "_nk_all", "_pk_all"))
