@@ -89,6 +89,7 @@ def _txn_sources(d: Domain) -> transactions.TransactionSources:
         comparable_bands=d["comparable_bands"],
         shifted_years=d["shifted_years"],
         costs=d["product_cost"],
+        skus=d["product_sku"].select(F.col("id").alias("sku_id"), F.col("code").alias("sku_code")),
     )
 
 
@@ -163,8 +164,8 @@ def comparable_store(d: Domain) -> DataFrame:
     )
 
 
-def _fact(d: Domain) -> DataFrame:
-    return transactions.line_fact(_txn_sources(d))
+def _order_lines(d: Domain) -> DataFrame:
+    return transactions.order_lines(_txn_sources(d))
 
 
 _SEQUENCE = ("customer_id", "txn_nbr", "cust_first_txn_date", "cust_prev_txn_datetime", "days_since_cust_prev_txn", "rn", "drn")
@@ -172,17 +173,17 @@ _SEQUENCE = ("customer_id", "txn_nbr", "cust_first_txn_date", "cust_prev_txn_dat
 
 @query
 def txn_order(d: Domain) -> DataFrame:
-    return transactions.customer_sequence(_fact(d)).select(*_SEQUENCE)
+    return transactions.customer_sequence(_order_lines(d)).select(*_SEQUENCE)
 
 
 @query
 def purchase_order(d: Domain) -> DataFrame:
-    return transactions.customer_sequence(_fact(d), purchases_only=True).select(*_SEQUENCE)
+    return transactions.customer_sequence(_order_lines(d), purchases_only=True).select(*_SEQUENCE)
 
 
 @query
 def first_purchase_txns(d: Domain) -> DataFrame:
-    return transactions.first_purchase_txns(_fact(d))
+    return transactions.first_purchase_txns(_order_lines(d))
 
 
 @query
