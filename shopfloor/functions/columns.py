@@ -113,5 +113,8 @@ def money(c: Column, precision: int = 15, scale: int = 2) -> Column:
 
 
 def round_half_up(c: Column, scale: int = 2) -> Column:
-    """Round away from zero at ties, unaffected by the binary tail of a double."""
-    return c.cast("decimal(28,10)").cast(f"decimal(18,{scale})")
+    """Round away from zero at ties, unaffected by the binary tail of a double.
+
+    Six decimals settle the tie; up to 18 digits Spark keeps decimals in a long.
+    """
+    return c.cast("decimal(18,6)").cast(f"decimal(18,{scale})")

@@ -24,8 +24,8 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _r2(x: str, scale: int = 2) -> str:
-    """Round half away from zero on ten decimals, free of binary tails."""
-    return f"CAST(CAST({x} AS DECIMAL(28,10)) AS DECIMAL(18,{scale}))"
+    """Round half away from zero on six decimals, free of binary tails."""
+    return f"CAST(CAST({x} AS DECIMAL(18,6)) AS DECIMAL(18,{scale}))"
 
 
 def _d(x: str) -> str:

@@ -97,14 +97,6 @@ def _lines(d: Domain) -> DataFrame:
     return transactions.txn_lines(d["transaction_hdr"], d["transaction_dtl"], sku_match_cascade(d))
 
 
-def _market(d: Domain) -> DataFrame:
-    return transactions.market_lines(_lines(d), d["counter"], d["counter_category"], d["price_list"])
-
-
-def _usd(d: Domain) -> DataFrame:
-    return transactions.to_usd(_market(d), d["calendar"], d["peg_rate"], d["tax_rate"])
-
-
 @query
 def scan_filter(d: Domain) -> DataFrame:
     return lookups.scan_filter(d["part"], "p_brand", "Brand#7").select("p_partkey", "p_name", "p_brand")
@@ -117,7 +109,7 @@ def txn_base(d: Domain) -> DataFrame:
 
 @query
 def txn_enriched(d: Domain) -> DataFrame:
-    return transactions.with_product(_market(d), d["product"])
+    return transactions.enriched_lines(_txn_sources(d))
 
 
 @query
@@ -141,7 +133,7 @@ def banded_cost_latest(d: Domain) -> DataFrame:
 
 @query
 def fx_peg_tax(d: Domain) -> DataFrame:
-    return _usd(d).select(
+    return transactions.usd_lines(_txn_sources(d)).select(
         "txn_nbr", "txn_item_line_nbr", "item_sold_qty", "local_item_net_amt", "local_currency", "country_code",
         *(F.round(c, 6).alias(c) for c in ("usd_msrp",)), "usd_item_net_amt", "usd_aur",
         "fisc_year_num", "fisc_year_quarter", "fisc_year_month", "fisc_year_week", "fisc_year_day",
@@ -150,14 +142,14 @@ def fx_peg_tax(d: Domain) -> DataFrame:
 
 @query
 def discount_flags(d: Domain) -> DataFrame:
-    return _usd(d).groupBy("discount_flag", "fisc_year_num").agg(
+    return transactions.usd_lines(_txn_sources(d)).groupBy("discount_flag", "fisc_year_num").agg(
         F.count(F.lit(1)).alias("line_count"), F.sum(F.col("discount_pct").cast("decimal(18,4)")).alias("sum_discount_pct")
     )
 
 
 @query
 def comparable_store(d: Domain) -> DataFrame:
-    lines = transactions.attach_store(_usd(d), d["location"], d["comparable_bands"], d["shifted_years"])
+    lines = transactions.line_fact(_txn_sources(d))
     return lines.select(
         "txn_nbr", "txn_item_line_nbr", "item_sold_qty", "local_item_net_amt", "location_id", "location_desc", "region_desc",
         "comp_year_ty", "comp_ind_ty", "comp_year_ly", "comp_ind_ly",
