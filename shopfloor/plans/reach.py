@@ -55,10 +55,14 @@ def associates(clients: DataFrame, key_only: bool = False) -> DataFrame:
 
 def fiscal_start(clients: DataFrame) -> DataFrame:
     """One row: first add date and number of the latest fiscal year on record."""
-    yearly = clients.groupBy("fisc_year").agg(F.min("add_date").alias("_first"))
-    newest = yearly.agg(two_digit_year(F.max("fisc_year")).alias("y")).select("y").scalar()
-    year = two_digit_year(F.col("fisc_year"))
-    return yearly.where(year == newest).agg(F.min("_first").alias("fy_start_date"), F.max(year).alias("year"))
+    # One small row per fiscal year label; the list below holds a handful of entries.
+    yearly = clients.groupBy("fisc_year").agg(F.min("add_date").alias("first"))
+    packed = yearly.agg(
+        two_digit_year(F.max("fisc_year")).alias("year"),
+        F.collect_list(F.struct(two_digit_year(F.col("fisc_year")).alias("y"), "first")).alias("_years"),
+    )
+    of_newest = F.filter("_years", lambda e: e["y"] == F.col("year"))
+    return packed.select(F.array_min(F.transform(of_newest, lambda e: e["first"])).alias("fy_start_date"), "year")
 
 
 def fiscal_year_opening(calendar: DataFrame, as_of: dt.date) -> DataFrame:
@@ -199,21 +203,19 @@ def current_period(sessions: DataFrame) -> DataFrame:
 
 
 def periods_up_to_current(sessions: DataFrame, current: DataFrame, label: str = "fiscal_week", newest: str = "current_week") -> DataFrame:
-    """Repeat each row once per fiscal year whose newest period is not before the row's.
-
-    The newest periods are one short list (an entry per fiscal year), read as a scalar.
-    """
-    matches = _matches(F.col("_newest"), F.col(label), or_later=True)
+    """Repeat each row once per fiscal year whose newest period is not before the row's."""
+    matches = _matches(F.col(f"_now.{newest}"), F.col(label), or_later=True)
     return (
-        sessions.withColumn("_newest", _newest(current, newest))
+        sessions.withColumn("_now", _newest(current))
         .withColumn("copies", F.col("copies") * matches)
         .where(F.col("copies") > 0)
-        .drop("_newest")
+        .drop("_now")
     )
 
 
-def _newest(current: DataFrame, column: str) -> Column:
-    return current.agg(F.collect_list(column).alias("v")).select("v").scalar()
+def _newest(current: DataFrame) -> Column:
+    """The current periods as one scalar of short lists, an entry per fiscal year each."""
+    return current.agg(F.struct(*(F.collect_list(c).alias(c) for c in current.columns)).alias("v")).select("v").scalar()
 
 
 def _matches(newest: Column, value: Column, or_later: bool) -> Column:
@@ -296,13 +298,11 @@ def ptd_rows(sessions: DataFrame, sales: DataFrame, daily_adds: DataFrame, curre
     """
     days = sessions.select(F.col("sender").alias("user_id"), "card_type_new", "msg_date").distinct()
     # An add counts once per fiscal year whose newest message day is not before it.
-    weighted = daily_adds.withColumn("_ends", _newest(current, "max_msg_date")).withColumn(
-        "_weight", F.size(F.filter("_ends", lambda end: end >= F.col("add_date")))
+    weighted = daily_adds.withColumn("_now", _newest(current)).withColumn(
+        "_weight", F.size(F.filter("_now.max_msg_date", lambda end: end >= F.col("add_date")))
     )
     context = _running(days, weighted, sales).withColumnRenamed("user_id", "sender")
-    rows = sessions.join(context, ["sender", "card_type_new", "msg_date"], "left").select(
-        "*", *(_newest(current, label.replace("fiscal", "current")).alias(f"_now_{period}") for period, label in PERIODS.items())
-    )
+    rows = sessions.join(context, ["sender", "card_type_new", "msg_date"], "left").withColumn("_now", _newest(current))
 
     def entry(period: str, ordinal: Column, cls: Column, hits: Column, n: str, p: str) -> Column:
         count = F.coalesce(F.col(n), F.lit(0))
@@ -317,7 +317,7 @@ def ptd_rows(sessions: DataFrame, sales: DataFrame, daily_adds: DataFrame, curre
     by_card, everyone = member_class(F.col("card_type_new")), F.lit(ALL_CLASS)
     entries = [entry("DTD", date_key(F.col("msg_date")), cls, F.lit(1), "_n", "_p") for cls in (by_card, everyone)]
     for period, label in PERIODS.items():
-        newest, value = F.col(f"_now_{period}"), F.col(label)
+        newest, value = F.col("_now." + label.replace("fiscal", "current")), F.col(label)
         hits = _matches(newest, value, or_later=rules.up_to_current and period != "YTD")
         ordinal = value if period == "YTD" else F.substring(value, 5, 2)
         bounded = ("_nk", "_pk") if rules.all_class_as_of else ("_nk_all", "_pk_all")
@@ -403,16 +403,21 @@ class ReachSources:
     brand: str | None = None
 
 
+def _org_messages(src: ReachSources, staff: DataFrame) -> DataFrame:
+    since = fiscal_start(src.clients).select("fy_start_date").scalar()
+    return filter_messages(src.chat, staff, since, brand=src.brand, dedup=False)
+
+
 def org_sessions(src: ReachSources) -> DataFrame:
     staff = associates(src.clients)
-    since = fiscal_start(src.clients).select("fy_start_date").scalar()
-    messages = filter_messages(src.chat, staff, since, brand=src.brand, dedup=False)
-    return session_counts(messages, staff, receivers(src.clients, src.contacts), src.periods)
+    return session_counts(_org_messages(src, staff), staff, receivers(src.clients, src.contacts), src.periods)
 
 
 def org_period_rows(src: ReachSources) -> DataFrame:
-    sessions = org_sessions(src)
-    return ptd_rows(sessions, amounts(src.clients), adds(src.clients), current_period(sessions))
+    # The current periods follow from the message days alone, without counting sessions.
+    days = _org_messages(src, associates(src.clients)).select("msg_date").distinct()
+    current = current_period(attach_periods(days, src.periods))
+    return ptd_rows(org_sessions(src), amounts(src.clients), adds(src.clients), current)
 
 
 def org_reach(src: ReachSources, levels: Sequence[int] = (0, 1, 2, 3, 4)) -> DataFrame:
@@ -420,18 +425,25 @@ def org_reach(src: ReachSources, levels: Sequence[int] = (0, 1, 2, 3, 4)) -> Dat
     return stamp(org_rollup(org_period_rows(src), levels), adds(src.clients))
 
 
+def _key_messages(src: ReachSources, staff: DataFrame, calendar: DataFrame, as_of: dt.date) -> DataFrame:
+    since = fiscal_year_opening(calendar, as_of).select("start_timewindow").scalar()
+    return filter_messages(src.chat, staff, since, F.lit(as_of), brand=src.brand, dedup=False)
+
+
 def key_sessions(src: ReachSources, calendar: DataFrame, as_of: dt.date) -> DataFrame:
     staff = associates(src.clients, key_only=True)
-    since = fiscal_year_opening(calendar, as_of).select("start_timewindow").scalar()
-    messages = filter_messages(src.chat, staff, since, F.lit(as_of), brand=src.brand, dedup=False)
+    messages = _key_messages(src, staff, calendar, as_of)
     return key_session_counts(messages, staff, receivers(src.clients, src.contacts), src.periods)
 
 
 def associate_reach(src: ReachSources, calendar: DataFrame, as_of: dt.date) -> DataFrame:
     """The key-associate report; weeks, months and quarters up to the current one are kept."""
-    sessions = key_sessions(src, calendar, as_of)
+    messages = _key_messages(src, associates(src.clients, key_only=True), calendar, as_of)
+    known = semi(messages, receivers(src.clients, src.contacts), {"receiver": "openid"})
+    current = current_period(attach_periods(known.select("msg_date").distinct(), src.periods))
     daily_adds = adds(src.clients, key_only=True)
-    rows = ptd_rows(sessions, amounts(src.clients, key_only=True), daily_adds, current_period(sessions), ASSOCIATE_RULES)
+    sessions = key_sessions(src, calendar, as_of)
+    rows = ptd_rows(sessions, amounts(src.clients, key_only=True), daily_adds, current, ASSOCIATE_RULES)
     named = rows.select(
         F.col("sender").alias("sa_code"), F.col("name").alias("sa_name"), F.col("store_nbr").alias("store_code"),
         F.col("local_name").alias("store_name"), *(c for c in rows.columns if c not in ("sender", *ORG)),
