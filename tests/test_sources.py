@@ -126,3 +126,27 @@ def test_replayed_batch_leaves_the_same_rows(spark, tmp_path):
     sink(batch, 0)
     sink(batch, 0)
     assert _rows(spark.read.parquet(str(tmp_path / "sink")).select("seq", "receiver")) == [(1, "a"), (2, "b")]
+
+
+def test_stream_sessions_against_brute_force(spark, tmp_path):
+    base = dt.datetime(2024, 1, 1, 10)
+    minutes = {"c1": [0, 59, 119, 200, 200], "c2": [30, 1000], "z": [5000]}  # z moves the watermark past the others
+    data = [("s", r, (base + dt.timedelta(minutes=m)).strftime("%Y-%m-%d %H:%M:%S")) for r, ms in minutes.items() for m in ms]
+    source, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    schema = "sender STRING, receiver STRING, msgtime STRING"
+    spark.createDataFrame(data, schema).coalesce(1).write.parquet(source)
+    stream = chat_stream.stream_sessions(chat_stream.read_feed(spark, source, schema))
+    chat_stream.run_available(stream, chat_stream.batch_sink(out, ("sender", "receiver", "opened_at")), mark)
+    want = []
+    for r in ("c1", "c2"):
+        run = []
+        for m in [*minutes[r], None]:
+            if run and (m is None or m - run[-1] >= 60):
+                want.append((r, base + dt.timedelta(minutes=run[0]), base + dt.timedelta(minutes=run[-1] + 60), len(run)))
+                run = []
+            if m is not None:
+                run.append(m)
+    got = spark.read.parquet(out).select(
+        "receiver", F.col("opened_at").cast("timestamp_ntz"), F.col("closed_at").cast("timestamp_ntz"), "messages"
+    )
+    assert _rows(got) == sorted(want)
