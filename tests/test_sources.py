@@ -141,7 +141,7 @@ def test_stream_sessions_against_brute_force(spark, tmp_path):
     for r in ("c1", "c2"):
         run = []
         for m in [*minutes[r], None]:
-            if run and (m is None or m - run[-1] >= 60):
+            if run and (m is None or m - run[-1] > 60):
                 want.append((r, base + dt.timedelta(minutes=run[0]), base + dt.timedelta(minutes=run[-1] + 60), len(run)))
                 run = []
             if m is not None:
