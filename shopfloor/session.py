@@ -21,8 +21,8 @@ DEFAULTS = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """A session for tests and local benchmarking. Clusters bring their own."""
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, shared: str | None = None) -> SparkSession:
+    """A session for tests and local benchmarking, with ``shared`` as its shared folder. Clusters bring their own."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("shopfloor")
@@ -30,6 +30,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)
     session = builder.getOrCreate()

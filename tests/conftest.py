@@ -14,10 +14,7 @@ DATA = os.environ.get("SHOPFLOOR_TEST_DATA", "/root/testdata/sf0.01")
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     os.chdir(tmp_path_factory.mktemp("run"))  # saved tables land here
-    session = local_session(cores=8)
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-    yield session
+    yield local_session(cores=8, shared=str(tmp_path_factory.mktemp("shared")))
 
 
 @pytest.fixture(scope="session")
