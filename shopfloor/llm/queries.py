@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.llm import exact_dedup, mixing, quality_rules, token_counts
+from shopfloor.llm import exact_dedup, mixing, ngram_join, quality_rules, substring_dedup, token_counts
 from shopfloor.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,3 +56,13 @@ def tokenizer_file(name: str) -> str:
 @query
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+@query
+def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.similar_groups(table(spark, folder, "documents"), n=3, percent=90)
+
+
+@query
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.repeated_passages(table(spark, folder, "documents"), length=50)
