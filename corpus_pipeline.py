@@ -11,7 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopfloor.llm import exact_dedup, mixing, quality_rules
+from shopfloor.llm import exact_dedup, mixing, ngram_join, quality_rules, segmentation
+from shopfloor.llm.queries import tokenizer_file
 from shopfloor.llm.shared import shared_folder, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -27,15 +28,27 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_exact(docs)
 
 
+def similar_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (five-word shingles, similarity of 0.8 or more): the smallest id."""
+    return ngram_join.drop_similar(docs, n=5, percent=80)
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
     return mixing.mixed_documents(docs)
 
 
+def segmentation_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sampled segmentations of each document, as ids: the training examples."""
+    return segmentation.segmentations(docs, tokenizer_file("piece_bpe_32k.model"))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_stage),
     ("exact_dedup", exact_stage),
+    ("ngram_join", similar_stage),
     ("mixing", mixing_stage),
+    ("segmentation", segmentation_stage),
 ]
 
 #: The mix and the sampled segmentations draw by hash and by Philox, which SQL cannot express.

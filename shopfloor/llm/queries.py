@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.llm import exact_dedup, mixing, ngram_join, quality_rules, substring_dedup, token_counts
+from shopfloor.llm import (
+    exact_dedup,
+    html_text,
+    language_id,
+    mixing,
+    ngram_join,
+    personal_data,
+    quality_rules,
+    segmentation,
+    substring_dedup,
+    token_counts,
+)
 from shopfloor.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,3 +77,29 @@ def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.repeated_passages(table(spark, folder, "documents"), length=50)
+
+
+@query
+def op9_segmentation(spark: SparkSession, folder: str) -> DataFrame:
+    samples = segmentation.segmentations(table(spark, folder, "documents"), tokenizer_file("piece_bpe_32k.model"), with_ids=False)
+    return samples.drop("ids")
+
+
+@query
+def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.main_texts(table(spark, folder, "pages"))
+
+
+@query
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    net = language_id.fit(docs.where(~language_id.held_out()))
+    kept_out = docs.select("doc_id", language_id.held_out().alias("held_out"), "text")
+    predicted = language_id.predict(kept_out.select(F.struct("doc_id", "held_out").alias("doc_id"), "text"), net)
+    return predicted.select("doc_id.doc_id", "doc_id.held_out", "lang_pred", "score")
+
+
+@query
+def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    field = personal_data.train(personal_data.labelled_table())
+    return personal_data.find_personal_data(table(spark, folder, "documents"), field)
