@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -45,6 +46,9 @@ def stored(df: DataFrame) -> Iterator[DataFrame]:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of ``folder``. Python workers that start elsewhere find this library where the driver has it."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
