@@ -7,10 +7,6 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Longest chat-record payload kept, and the smallest media id length.
-MAX_RECORD_CHARS = 60000
-MIN_MEDIA_ID_CHARS = 32
-
 
 def strip_chars(c: Column, chars: str | Column) -> Column:
     """Delete every character of the set ``chars`` (a set, not a substring)."""
@@ -18,11 +14,6 @@ def strip_chars(c: Column, chars: str | Column) -> Column:
     return F.call_function("translate", c, chars, F.lit(""))
 
 
-def position(c: Column, needle: str) -> Column:
-    """1-based position of ``needle``, 0 when absent."""
-    return F.instr(c, needle)
-
-
 def is_blank(c: Column) -> Column:
     return F.coalesce(F.trim(c), F.lit("")) == ""
 
@@ -66,11 +57,12 @@ def clean_control(c: Column) -> Column:
 
 
 def valid_media_id(c: Column) -> Column:
+    # Fixed value: the form of a media id.
     return c.rlike(r"^[A-Za-z0-9+/=]{32,}$")
 
 
 def is_external_id(c: Column) -> Column:
-    """Ids of customers, as opposed to staff and bots."""
+    """Ids of customers, as opposed to staff and bots. The prefixes."""
     return starts_with_any(c, ("wo", "wm")) & ~c.startswith("wb")
 
 
@@ -87,9 +79,11 @@ def json_text(fields: Column, key: str | Column) -> Column:
     return F.coalesce(F.try_element_at(fields, key if isinstance(key, Column) else F.lit(key)), F.lit(""))
 
 
-def guard_payload(payload: Column, msgtype: Column) -> Column:
-    """Over-long chat records become an empty object."""
-    too_long = (msgtype == "chatrecord") & (F.length(payload) > MAX_RECORD_CHARS)
+def guard_payload(payload: Column, msgtype: Column, max_chars: int | None = None) -> Column:
+    """The payload whole; with ``max_chars``, longer chat records become an empty object."""
+    if max_chars is None:
+        return payload
+    too_long = (msgtype == "chatrecord") & (F.length(payload) > max_chars)
     return F.when(too_long, F.lit("{}")).otherwise(payload)
 
 
@@ -113,8 +107,9 @@ def money(c: Column, precision: int = 15, scale: int = 2) -> Column:
 
 
 def round_half_up(c: Column, scale: int = 2) -> Column:
-    """Round away from zero at ties, unaffected by the binary tail of a double.
+    """Round away from zero at ties.
 
-    Six decimals settle the tie; up to 18 digits Spark keeps decimals in a long.
+    A quotient of doubles is read to eight places first, so ties such as 1.005 and 3580.74 / 36 count as ties although their
+    binary values do not.
     """
-    return c.cast("decimal(18,6)").cast(f"decimal(18,{scale})")
+    return F.round(c.cast("decimal(30,8)"), scale).cast(f"decimal(18,{scale})")

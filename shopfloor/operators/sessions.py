@@ -38,16 +38,19 @@ def daily_sessions(messages: DataFrame, gap: int = 60) -> DataFrame:
     """Number of sessions per sender, receiver and day.
 
     Only the minute of a message matters for the count: messages within a minute never open
-    a second session. Rows shrink to distinct minutes before the shuffle, at most 1,440 per
-    pair and day.
+    a second session. Rows shrink to sets of at most 1,440 minutes in the map tasks, so one
+    exchange on all three keys moves a set per pair, day and task.
     """
-    minutes = messages.select(
-        *PAIR_DAY, (F.hour("msgtime") * 60 + F.minute("msgtime")).alias("_minute")
-    ).distinct()
-    before = F.lag("_minute").over(Window.partitionBy(*PAIR_DAY).orderBy("_minute"))
-    opens = before.isNull() | (F.col("_minute") - before > gap)
-    return (
-        minutes.withColumn("_opens", F.when(opens, 1).otherwise(0))
-        .groupBy(*PAIR_DAY)
-        .agg(F.sum("_opens").alias("sessions"))
-    )
+    return sessions_of_minutes(session_minutes(messages), gap)
+
+
+def session_minutes(messages: DataFrame) -> DataFrame:
+    """Sender, receiver, day and minute of the day of each message."""
+    return messages.select(*PAIR_DAY, (F.hour("msgtime") * 60 + F.minute("msgtime")).alias("minute"))
+
+
+def sessions_of_minutes(minutes: DataFrame, gap: int = 60) -> DataFrame:
+    """Sessions per sender, receiver and day from the minutes with messages."""
+    sets = minutes.groupBy(*PAIR_DAY).agg(F.sort_array(F.collect_set("minute")).alias("_minutes"))
+    later = F.filter("_minutes", lambda m, i: m - F.get("_minutes", i - 1) > gap)
+    return sets.select(*PAIR_DAY, (F.size(later) + 1).cast("long").alias("sessions"))

@@ -24,8 +24,8 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _r2(x: str, scale: int = 2) -> str:
-    """Round half away from zero on six decimals, free of binary tails."""
-    return f"CAST(CAST({x} AS DECIMAL(18,6)) AS DECIMAL(18,{scale}))"
+    """Round half away from zero, on eight places of a double."""
+    return f"CAST(round(CAST({x} AS DECIMAL(30,8)), {scale}) AS DECIMAL(18,{scale}))"
 
 
 def _d(x: str) -> str:
@@ -218,10 +218,10 @@ LEFT JOIN price_list l ON l.product_key = b.product_id AND b.txn_date BETWEEN l.
 )
 _add(
     "banded_cost_latest",
-    (*_BASE_TABLES, "price_list"),
+    (*_BASE_TABLES, "product_cost"),
     _BASE,
-    f"""SELECT b.txn_nbr, b.sku_id, b.product_id, b.txn_date, {_d('''(SELECT arg_max(l.price, l.start_date) FROM price_list l
-  WHERE l.price_list_key = 4 AND l.product_key = b.product_id AND b.txn_date BETWEEN l.start_date AND l.end_date)''')} AS list_price FROM base b""",
+    f"""SELECT b.txn_nbr, b.sku_id, b.product_id, b.txn_date, {_d('''(SELECT arg_max(l.curr_std_cst_usd, l.start_date) FROM product_cost l
+  WHERE l.product_key = b.product_id AND b.txn_date BETWEEN l.start_date AND l.end_date)''')} AS cost FROM base b""",
 )
 _add(
     "fiscal_keys_by_day",
@@ -613,14 +613,14 @@ _add(
 _KEY_OPENING = (
     "key_opening",
     """SELECT calendar_date AS start_timewindow, fisc_year_num FROM reach_calendar WHERE fisc_year_day_num = 1
-  AND fisc_year_num = (SELECT fisc_year_num FROM reach_calendar WHERE calendar_date = DATE '2024-01-26')""",
+  AND fisc_year_num = (SELECT fisc_year_num FROM reach_calendar WHERE calendar_date = (SELECT max(CAST(substring(msgtime, 1, 10) AS DATE)) FROM chat_message))""",
 )
 _add(
     "key_fiscal_start",
     ("chat_message", "reach_calendar"),
     (_KEY_OPENING,),
     """SELECT CAST(substring(msgtime, 1, 10) AS DATE) AS msg_date, count(*) AS messages, start_timewindow, fisc_year_num
-FROM chat_message JOIN key_opening ON CAST(substring(msgtime, 1, 10) AS DATE) BETWEEN start_timewindow AND DATE '2024-01-26' GROUP BY ALL""",
+FROM chat_message JOIN key_opening ON CAST(substring(msgtime, 1, 10) AS DATE) BETWEEN start_timewindow AND (SELECT max(CAST(substring(msgtime, 1, 10) AS DATE)) FROM chat_message) GROUP BY ALL""",
 )
 _add(
     "associate_reach",
@@ -635,7 +635,7 @@ _add(
             "messages",
             """SELECT sender_external_userid AS sender, receiver_external_userid AS receiver, CAST(msgtime AS TIMESTAMP) AS msgtime,
   CAST(CAST(msgtime AS TIMESTAMP) AS DATE) AS msg_date
-FROM chat_message JOIN key_opening ON CAST(CAST(msgtime AS TIMESTAMP) AS DATE) BETWEEN start_timewindow AND DATE '2024-01-26'
+FROM chat_message JOIN key_opening ON CAST(CAST(msgtime AS TIMESTAMP) AS DATE) BETWEEN start_timewindow AND (SELECT max(CAST(substring(msgtime, 1, 10) AS DATE)) FROM chat_message)
 WHERE split_part(msgtime, ' ', 2) BETWEEN '10:00:00' AND '22:00:00' AND brand_code = 'Main'
   AND sender_external_userid IN (SELECT user_id FROM staff) AND (sender_external_userid <> '' OR receiver_external_userid <> '')
   AND receiver_external_userid NOT IN (SELECT user_id FROM staff WHERE user_id IS NOT NULL)""",
@@ -677,13 +677,12 @@ _NORMAL = (
         f"""SELECT seq, msgid, {_js('$.action')} AS action, {_js('$.from')} AS sender, receiver, position, {_js('$.roomid')} AS roomid,
   strftime(TIMESTAMP '1970-01-01 08:00:00' + to_seconds(CAST(coalesce(json_extract_string(body, '$.msgtime'), '0') AS BIGINT) // 1000), '%Y-%m-%d %H:%M:%S') AS msgtime,
   msgtype,
-  CASE WHEN msgtype IN ('image', 'voice', 'video', 'emotion', 'file') AND length(trim(json_extract_string(node, '$.sdkfileid'))) >= 32
-    THEN trim(json_extract_string(node, '$.sdkfileid')) ELSE '' END AS sdkfileid,
+  CASE WHEN msgtype IN ('image', 'voice', 'video', 'emotion', 'file') THEN coalesce(trim(json_extract_string(node, '$.sdkfileid')), '') ELSE '' END AS sdkfileid,
   coalesce(json_extract_string(node, '$.md5sum'), '') AS md5sum,
   CASE WHEN msgtype <> 'file' THEN '' WHEN json_extract_string(node, '$.fileext') LIKE '{{%}}' THEN
     CASE WHEN json_valid(json_extract_string(node, '$.fileext')) THEN json_extract_string(json_extract_string(node, '$.fileext'), '$.fileext') ELSE '' END
     ELSE coalesce(json_extract_string(node, '$.fileext'), '') END AS fileext,
-  CASE WHEN msgtype = 'chatrecord' AND length(CAST(node AS VARCHAR)) > 60000 THEN '{{}}' ELSE CAST(node AS VARCHAR) END AS raw_json
+  CAST(node AS VARCHAR) AS raw_json
 FROM (SELECT *, unnest(CASE WHEN tolist IS NULL THEN [''] WHEN json_type(tolist) = 'ARRAY' THEN CAST(tolist AS VARCHAR[]) ELSE [CAST(tolist AS VARCHAR)] END) AS receiver,
   unnest(range(CASE WHEN json_type(tolist) = 'ARRAY' THEN CAST(json_array_length(tolist) AS BIGINT) ELSE 1 END)) AS position FROM fields)""",
     ),
@@ -692,7 +691,28 @@ _RAW = ("raw_message",)
 _normalized = "SELECT * EXCLUDE (position) FROM rows_out"
 _add("normalize_messages", _RAW, _NORMAL, _normalized)
 _add("stream_normalize", _RAW, _NORMAL, _normalized)
-_add("stream_dedup", _RAW, _NORMAL, "SELECT DISTINCT seq, receiver, msgtype FROM rows_out")
+_add("stream_dedup", _RAW, _NORMAL, "SELECT seq, receiver, msgtype FROM rows_out")
+_add(
+    "stream_sessions",
+    ("chat_message",),
+    (
+        (
+            "minutes",
+            """SELECT DISTINCT sender_external_userid AS sender, receiver_external_userid AS receiver, CAST(msgtime AS TIMESTAMP)::DATE AS msg_date,
+  date_trunc('minute', CAST(msgtime AS TIMESTAMP)) AS at FROM chat_message""",
+        ),
+    ),
+    """SELECT sender, receiver, msg_date, count(*) AS sessions FROM minutes m WHERE NOT EXISTS (SELECT 1 FROM minutes b WHERE b.sender = m.sender
+  AND b.receiver = m.receiver AND b.msg_date = m.msg_date AND b.at < m.at AND b.at >= m.at - INTERVAL 60 MINUTE) GROUP BY ALL""",
+)
+_add("envelopes", _RAW, (), "SELECT seq, msgid, message FROM raw_message")
+_add("normalize_counts", _RAW, (), "SELECT count(*) + count(*) FILTER (seq % 2 = 0) AS messages_read, count(*) AS messages_parsed, count(*) FILTER (seq % 2 = 0) AS messages_rejected FROM raw_message")
+_add("csv_reload", ("contact",), (), "SELECT * FROM contact")
+_add("csv_lenient", (), (), "SELECT CAST(p_partkey AS INT) AS key, CAST(p_size AS INT) AS size, CASE WHEN p_partkey % 3 = 2 THEN 7 END AS extra FROM part WHERE p_partkey % 3 <> 0")
+_add("staged_table", (), (), "SELECT p_partkey, p_brand, p_size FROM part")
+_add("bucketed_table", (), (), "SELECT p_partkey, p_brand FROM part")
+_add("published_table", (), (), "SELECT p_partkey, p_type, true AS stamped_today FROM part WHERE p_size > 10")
+_add("daily_export", (), (), "SELECT p_partkey, p_name, '20240101' AS ds FROM part UNION ALL SELECT p_partkey, p_name, '20240102' FROM part WHERE p_partkey % 2 = 0")
 _add(
     "incremental_slice",
     _RAW,
@@ -722,6 +742,15 @@ _add(
     """SELECT (SELECT count(*) FROM checked) AS total_rows, (SELECT count(*) FROM manifest) AS valid_rows, (SELECT count(*) FROM checked WHERE NOT usable) AS skipped_rows,
   (SELECT count(*) FROM checked WHERE usable) - (SELECT count(*) FROM manifest) AS duplicate_rows""",
 )
+_add("manifest_round_trip", _RAW, _MANIFEST, "SELECT * FROM manifest")
+_add("media_keys", _RAW, _MANIFEST, "SELECT msgtype, md5sum, 'raw/chat/media/' || msgtype || '/' || md5sum || '.' || fileext AS media_key FROM manifest")
+_add(
+    "manifest_counts",
+    _RAW,
+    _MANIFEST,
+    """SELECT (SELECT count(*) FROM checked) AS total_rows, (SELECT count(*) FROM manifest) AS valid_rows, (SELECT count(*) FROM checked WHERE NOT usable) AS skipped_rows,
+  (SELECT count(*) FROM checked WHERE usable) - (SELECT count(*) FROM manifest) AS duplicate_rows""",
+)
 _EXTERNAL = (
     *_NORMAL,
     (

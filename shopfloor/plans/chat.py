@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopfloor.functions.columns import (
-    MIN_MEDIA_ID_CHARS,
     clean_control,
     epoch_millis_text,
     guard_payload,
@@ -47,43 +46,72 @@ def is_media_type(msgtype: Column) -> Column:
 def _file_extension(payload: Column) -> Column:
     """Extension of a file payload; text holding an object such as {"fileext": "pdf"} is unwrapped."""
     text = json_text(json_fields(payload), "fileext")
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(payload), "$.fileext", "variant"))
     wrapped = text.startswith("{") & text.endswith("}")
     inner = json_fields(text)
     unwrapped = F.when(inner.isNull(), "").otherwise(F.coalesce(F.try_element_at(inner, F.lit("fileext")), text))
-    nested = F.instr(payload, '"fileext":{') > 0  # a real object has no text of its own
-    return F.when(nested, "").when(wrapped, unwrapped).otherwise(text)
+    return F.when(kind.startswith("OBJECT"), "").when(wrapped, unwrapped).otherwise(text)  # a real object has no text of its own
 
 
-def media_fields(msgtype: Column, payload: Column) -> dict[str, Column]:
-    """Media id, checksum and file extension of a payload, '' where absent or unusable."""
+def media_fields(msgtype: Column, payload: Column, min_media_id_chars: int | None = None) -> dict[str, Column]:
+    """Media id, checksum and file extension of a payload, '' where absent; shorter ids than asked for count as absent."""
     fields = json_fields(payload)
     media_id = F.trim(json_text(fields, "sdkfileid"))
-    long_enough = F.regexp_extract(media_id, f"(?s)^.{{{MIN_MEDIA_ID_CHARS},}}$", 0)
+    if min_media_id_chars is not None:
+        media_id = F.when(F.length(media_id) >= min_media_id_chars, media_id).otherwise("")
     return {
-        "sdkfileid": F.when(is_media_type(msgtype), long_enough).otherwise(""),
+        "sdkfileid": F.when(is_media_type(msgtype), media_id).otherwise(""),
         "md5sum": json_text(fields, "md5sum"),
         "fileext": F.when(msgtype == FILE_TYPE, _file_extension(payload)).otherwise(""),
     }
 
 
-def normalize(feed: DataFrame, with_ext: bool = False, with_position: bool = False) -> DataFrame:
+def _parsed(feed: DataFrame) -> DataFrame:
+    rows = feed.select("seq", "msgid", clean_control(F.col("message")).alias("_text"))
+    return rows.withColumn("_m", json_fields(F.col("_text")))
+
+
+def rejected_messages(feed: DataFrame) -> DataFrame:
+    """Messages that are no JSON object, as they came: what ``normalize`` leaves out."""
+    return _parsed(feed).where(F.col("_m").isNull()).select("seq", "msgid", F.col("_text").alias("message"))
+
+
+def normalize_counts(feed: DataFrame) -> DataFrame:
+    """One row: messages read, parsed and rejected."""
+    ok = F.col("_m").isNotNull()
+    return _parsed(feed).agg(
+        F.count(F.lit(1)).alias("messages_read"), F.count_if(ok).alias("messages_parsed"), F.count_if(~ok).alias("messages_rejected")
+    )
+
+
+def _receivers(text: Column, listed: Column) -> Column:
+    """Receivers by the type of the list: elements of an array, '' without list, else the JSON text of the value."""
+    value = F.try_variant_get(F.try_parse_json(text), "$.tolist", "variant")
+    kind = F.schema_of_variant(value)
+    return (
+        F.when(listed.isNull(), F.array(F.lit("")))
+        .when(kind.startswith("ARRAY"), F.from_json(listed, "array<string>"))
+        .when(kind == "STRING", F.array(F.to_json(value)))
+        .otherwise(F.array(listed))
+    )
+
+
+def normalize(
+    feed: DataFrame,
+    with_ext: bool = False,
+    with_position: bool = False,
+    max_record_chars: int | None = None,
+    min_media_id_chars: int | None = None,
+) -> DataFrame:
     """One row per message and receiver from (seq, msgid, message JSON text).
 
     The receiver list decides the rows: an array gives one per element (none when empty), no
     list gives one with an empty receiver, any other value one holding its JSON text.
-    Unparseable messages are dropped.
+    Payloads and media ids stay whole unless limits are given. See ``rejected_messages`` for what is no message.
     """
-    rows = feed.select("seq", "msgid", clean_control(F.col("message")).alias("_text"))
-    rows = rows.withColumn("_m", json_fields(F.col("_text"))).where(F.col("_m").isNotNull())
+    rows = _parsed(feed).where(F.col("_m").isNotNull())
     m = F.col("_m")
-    listed = F.try_element_at(m, F.lit("tolist"))
-    is_text = F.instr("_text", '"tolist":"') > 0
-    receivers = (
-        F.when(listed.isNull(), F.array(F.lit("")))
-        .when(is_text, F.array(F.concat(F.lit('"'), listed, F.lit('"'))))
-        .when(listed.startswith("["), F.from_json(listed, "array<string>"))
-        .otherwise(F.array(listed))
-    )
+    receivers = _receivers(F.col("_text"), F.try_element_at(m, F.lit("tolist")))
     msgtype = json_text(m, "msgtype")
     rows = rows.select(
         "seq",
@@ -99,8 +127,8 @@ def normalize(feed: DataFrame, with_ext: bool = False, with_position: bool = Fal
     payload, kind = F.col("_payload"), F.col("msgtype")
     rows = rows.select(
         "*",
-        *(c.alias(n) for n, c in media_fields(kind, payload).items()),
-        guard_payload(payload, kind).alias("raw_json"),
+        *(c.alias(n) for n, c in media_fields(kind, payload, min_media_id_chars).items()),
+        guard_payload(payload, kind, max_record_chars).alias("raw_json"),
     ).withColumn("receiver", F.coalesce("receiver", F.lit("null")))
     columns = CURATED_WITH_EXT if with_ext else CURATED
     return rows.select(*columns, *(["_position"] if with_position else []))

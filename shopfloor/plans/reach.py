@@ -8,7 +8,7 @@ their people are running totals per associate, card and day, and every measure i
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -65,9 +65,9 @@ def fiscal_start(clients: DataFrame) -> DataFrame:
     return packed.select(F.array_min(F.transform(of_newest, lambda e: e["first"])).alias("fy_start_date"), "year")
 
 
-def fiscal_year_opening(calendar: DataFrame, as_of: dt.date) -> DataFrame:
+def fiscal_year_opening(calendar: DataFrame, as_of: dt.date | Column) -> DataFrame:
     """First day of the fiscal year containing ``as_of``, from a day calendar."""
-    current = calendar.where(F.col("calendar_date") == F.lit(as_of)).select("fisc_year_num")
+    current = calendar.where(F.col("calendar_date") == _day(as_of)).select("fisc_year_num")
     return calendar.where(F.col("fisc_year_day_num") == 1).join(current.distinct(), "fisc_year_num").select(
         F.col("calendar_date").alias("start_timewindow"), "fisc_year_num"
     )
@@ -127,10 +127,11 @@ def filter_messages(
     until: Column | None = None,
     brand: str | None = None,
     dedup: bool = True,
+    to_staff: bool = False,
 ) -> DataFrame:
     """Messages from an associate to somebody else, between opening and closing time inclusive.
 
-    A NULL associate id would make a literal ``NOT IN`` reject everything; it is dropped first.
+    ``to_staff`` leaves messages to associates in, for callers that drop them from reduced rows (``without_staff``).
     """
     staff_ids = staff.select("user_id").where(F.col("user_id").isNotNull()).distinct()
     sender, receiver = F.col("sender_external_userid"), F.col("receiver_external_userid")
@@ -147,11 +148,26 @@ def filter_messages(
     if until is not None:
         rows = rows.where(F.col("msg_date") <= until)
     rows = semi(rows, staff_ids, {"sender": "user_id"})
-    rows = rows.join(staff_ids.withColumnRenamed("user_id", "receiver"), "receiver", "left_anti")
+    if not to_staff:
+        rows = without_staff(rows, staff)
     rows = rows.select("sender", "receiver", "msgtime", "msg_date")
     return rows.distinct() if dedup else rows
 
 
+def without_staff(rows: DataFrame, staff: DataFrame) -> DataFrame:
+    """Rows whose receiver is no associate.
+
+    A NULL associate id would make a literal ``NOT IN`` reject everything; it is dropped first.
+    """
+    ids = staff.where(F.col("user_id").isNotNull()).select(F.col("user_id").alias("receiver")).distinct()
+    return rows.join(ids, "receiver", "left_anti").select(*rows.columns)
+
+
+def pair_days(messages: DataFrame, staff: DataFrame) -> DataFrame:
+    """Sessions per sender, receiver and day. Messages are reduced first, on all three keys, and staff receivers leave then."""
+    return without_staff(daily_sessions(messages), staff)
+
+
 def _receiver_map(pairs: DataFrame) -> DataFrame:
     """Receiver rows that differ only in customer id, folded to a count."""
     return pairs.where(F.col("openid").isNotNull()).groupBy(
@@ -159,14 +175,13 @@ def _receiver_map(pairs: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("_copies"))
 
 
-def session_counts(messages: DataFrame, staff: DataFrame, pairs: DataFrame, periods: DataFrame) -> DataFrame:
+def session_counts(days: DataFrame, staff: DataFrame, pairs: DataFrame, periods: DataFrame) -> DataFrame:
     """Sessions per day, associate, receiver and card; quality means at least two that day.
 
     ``copies`` counts identical rows a row stands for, always 1 in this report.
     """
     joined = (
-        daily_sessions(messages)
-        .join(staff.withColumnRenamed("user_id", "sender"), "sender", "left")
+        days.join(staff.withColumnRenamed("user_id", "sender"), "sender", "left")
         .join(_receiver_map(pairs), "receiver", "left")
     )
     total = F.col("sessions") * F.coalesce("_copies", F.lit(1))
@@ -177,14 +192,14 @@ def session_counts(messages: DataFrame, staff: DataFrame, pairs: DataFrame, peri
     )
 
 
-def key_session_counts(messages: DataFrame, staff: DataFrame, pairs: DataFrame, periods: DataFrame) -> DataFrame:
+def key_session_counts(days: DataFrame, staff: DataFrame, pairs: DataFrame, periods: DataFrame) -> DataFrame:
     """Session rows of key associates.
 
     Each row would appear once per client of the associate and per customer id of the
     receiver. The repeats are identical, so one row with a ``copies`` count stands for them.
     """
     crew = staff.groupBy("user_id", *ORG).agg(F.count(F.lit(1)).alias("_clients")).withColumnRenamed("user_id", "sender")
-    joined = daily_sessions(messages).join(crew, "sender").join(_receiver_map(pairs), "receiver")
+    joined = days.join(crew, "sender").join(_receiver_map(pairs), "receiver")
     return attach_periods(joined, periods).select(
         "msg_date", *PERIODS.values(), "sender", *ORG, "receiver", "work_external_user_id", "card_type_new",
         F.col("sessions").alias("is_session"), F.when(F.col("sessions") >= 2, 1).otherwise(0).alias("is_quality_session"),
@@ -401,23 +416,30 @@ class ReachSources:
     chat: DataFrame
     periods: DataFrame
     brand: str | None = None
+    #: May store a frame, for example as a table, so that later steps read it instead of the feed.
+    stage: Callable[[DataFrame, str], DataFrame] = lambda df, name: df
 
 
-def _org_messages(src: ReachSources, staff: DataFrame) -> DataFrame:
+def _org_pair_days(src: ReachSources) -> DataFrame:
+    staff = associates(src.clients)
     since = fiscal_start(src.clients).select("fy_start_date").scalar()
-    return filter_messages(src.chat, staff, since, brand=src.brand, dedup=False)
+    messages = filter_messages(src.chat, staff, since, brand=src.brand, dedup=False, to_staff=True)
+    return src.stage(pair_days(messages, staff), "org_pair_days")
+
+
+def _org_sessions(src: ReachSources, days: DataFrame) -> DataFrame:
+    return session_counts(days, associates(src.clients), receivers(src.clients, src.contacts), src.periods)
 
 
 def org_sessions(src: ReachSources) -> DataFrame:
-    staff = associates(src.clients)
-    return session_counts(_org_messages(src, staff), staff, receivers(src.clients, src.contacts), src.periods)
+    return _org_sessions(src, _org_pair_days(src))
 
 
 def org_period_rows(src: ReachSources) -> DataFrame:
-    # The current periods follow from the message days alone, without counting sessions.
-    days = _org_messages(src, associates(src.clients)).select("msg_date").distinct()
-    current = current_period(attach_periods(days, src.periods))
-    return ptd_rows(org_sessions(src), amounts(src.clients), adds(src.clients), current)
+    days = _org_pair_days(src)
+    # The current periods follow from the days alone, without counting sessions.
+    current = current_period(attach_periods(days.select("msg_date").distinct(), src.periods))
+    return ptd_rows(_org_sessions(src, days), amounts(src.clients), adds(src.clients), current)
 
 
 def org_reach(src: ReachSources, levels: Sequence[int] = (0, 1, 2, 3, 4)) -> DataFrame:
@@ -425,24 +447,33 @@ def org_reach(src: ReachSources, levels: Sequence[int] = (0, 1, 2, 3, 4)) -> Dat
     return stamp(org_rollup(org_period_rows(src), levels), adds(src.clients))
 
 
-def _key_messages(src: ReachSources, staff: DataFrame, calendar: DataFrame, as_of: dt.date) -> DataFrame:
-    since = fiscal_year_opening(calendar, as_of).select("start_timewindow").scalar()
-    return filter_messages(src.chat, staff, since, F.lit(as_of), brand=src.brand, dedup=False)
+def _day(value: dt.date | Column) -> Column:
+    return value if isinstance(value, Column) else F.lit(value)
+
 
+def newest_day(chat: DataFrame) -> Column:
+    """The newest message day, as a scalar."""
+    return chat.agg(F.max(F.to_date(F.substring("msgtime", 1, 10))).alias("d")).select("d").scalar()
 
-def key_sessions(src: ReachSources, calendar: DataFrame, as_of: dt.date) -> DataFrame:
+
+def _key_pair_days(src: ReachSources, calendar: DataFrame, as_of: dt.date | Column) -> DataFrame:
     staff = associates(src.clients, key_only=True)
-    messages = _key_messages(src, staff, calendar, as_of)
-    return key_session_counts(messages, staff, receivers(src.clients, src.contacts), src.periods)
+    since = fiscal_year_opening(calendar, as_of).select("start_timewindow").scalar()
+    messages = filter_messages(src.chat, staff, since, _day(as_of), brand=src.brand, dedup=False, to_staff=True)
+    return src.stage(pair_days(messages, staff), "key_pair_days")
 
 
-def associate_reach(src: ReachSources, calendar: DataFrame, as_of: dt.date) -> DataFrame:
-    """The key-associate report; weeks, months and quarters up to the current one are kept."""
-    messages = _key_messages(src, associates(src.clients, key_only=True), calendar, as_of)
-    known = semi(messages, receivers(src.clients, src.contacts), {"receiver": "openid"})
+def associate_reach(src: ReachSources, calendar: DataFrame, as_of: dt.date | Column | None = None) -> DataFrame:
+    """The key-associate report up to ``as_of``, by default the newest message day.
+
+    Weeks, months and quarters up to the current one are kept.
+    """
+    days = _key_pair_days(src, calendar, newest_day(src.chat) if as_of is None else as_of)
+    pairs = receivers(src.clients, src.contacts)
+    known = semi(days, pairs, {"receiver": "openid"})
     current = current_period(attach_periods(known.select("msg_date").distinct(), src.periods))
     daily_adds = adds(src.clients, key_only=True)
-    sessions = key_sessions(src, calendar, as_of)
+    sessions = key_session_counts(days, associates(src.clients, key_only=True), pairs, src.periods)
     rows = ptd_rows(sessions, amounts(src.clients, key_only=True), daily_adds, current, ASSOCIATE_RULES)
     named = rows.select(
         F.col("sender").alias("sa_code"), F.col("name").alias("sa_name"), F.col("store_nbr").alias("store_code"),

@@ -3,27 +3,28 @@
 from __future__ import annotations
 
 import datetime as dt
-import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from shopfloor.bindings import SQL, Domain
+from shopfloor.bindings import Domain
 from shopfloor.operators import lookups
 from shopfloor.operators.aggregation import distinct_counts, resum
 from shopfloor.operators.calendar import attach_periods, fiscal_keys
 from shopfloor.operators.sessions import daily_sessions, mark_sessions
 from shopfloor.plans import chat, customers, products, reach, telemetry, transactions
-from shopfloor.session import work_dir
+from shopfloor.session import settled, work_dir
+from shopfloor.sources import files
+from shopfloor.sources.tables import Tables
 from shopfloor.streaming import chat as chat_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 PRODUCT_BRAND, BRAND = "B1", "Main"
-AS_OF = dt.date(2024, 1, 26)
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -125,9 +126,8 @@ def banded_price_lookup(d: Domain) -> DataFrame:
 @query
 def banded_cost_latest(d: Domain) -> DataFrame:
     lines = _lines(d).select("txn_nbr", "sku_id", "product_id", "txn_date")
-    prices = d["price_list"].where(F.col("price_list_key") == 4)
     return lookups.banded_lookup(
-        lines, prices, {"product_id": "product_key"}, "txn_date", "start_date", "end_date", {"price": "list_price"}, unique=True
+        lines, d["product_cost"], {"product_id": "product_key"}, "txn_date", "start_date", "end_date", {"curr_std_cst_usd": "cost"}, unique=True
     )
 
 
@@ -193,7 +193,7 @@ def fiscal_keys_by_day(d: Domain) -> DataFrame:
 
 
 def _reach_sources(d: Domain) -> reach.ReachSources:
-    return reach.ReachSources(d["associate_customer"], d["contact"], d["chat_message"], d["calendar_period"], BRAND)
+    return reach.ReachSources(d["associate_customer"], d["contact"], d["chat_message"], d["calendar_period"], BRAND, settled)
 
 
 def _messages(d: Domain, dedup: bool = True) -> DataFrame:
@@ -321,15 +321,16 @@ def org_resum(d: Domain) -> DataFrame:
 
 @query
 def key_fiscal_start(d: Domain) -> DataFrame:
-    first = reach.fiscal_year_opening(d["reach_calendar"], AS_OF)
+    as_of = reach.newest_day(d["chat_message"])
+    first = reach.fiscal_year_opening(d["reach_calendar"], as_of)
     chats = d["chat_message"].select(F.to_date(F.substring("msgtime", 1, 10)).alias("msg_date"))
-    inside = chats.where(F.col("msg_date").between(first.select("start_timewindow").scalar(), F.lit(AS_OF)))
+    inside = chats.where(F.col("msg_date").between(first.select("start_timewindow").scalar(), as_of))
     return lookups.with_scalar(inside.groupBy("msg_date").agg(F.count(F.lit(1)).alias("messages")), first)
 
 
 @query
 def associate_reach(d: Domain) -> DataFrame:
-    return reach.associate_reach(_reach_sources(d), d["reach_calendar"], AS_OF)
+    return reach.associate_reach(_reach_sources(d), d["reach_calendar"])
 
 
 # --- chat ingest ----------------------------------------------------------------------
@@ -429,45 +430,121 @@ def run_metrics(d: Domain) -> DataFrame:
     return telemetry.run_metrics(d["job_runs"])
 
 
-# --- streaming ------------------------------------------------------------------------
+# --- sources and sinks ----------------------------------------------------------------
+
+
+def _tables(d: Domain) -> Tables:
+    return Tables(d.spark)
+
+
+def _name(label: str) -> str:
+    return f"shopfloor_{label}_{uuid.uuid4().hex}"
 
 
-def _stream(d: Domain, table: str, binding: str) -> DataFrame:
-    """A derived table over the base table's Parquet file read as a stream."""
-    path, schema = f"{d.folder}/{table}.parquet", d[table].schema
-    if os.path.isfile(path):  # a file source watches folders; pick the one file by name
-        feed = chat_stream.read_feed(d.spark, d.folder, schema, pattern=f"{table}.parquet")
-    else:
-        feed = chat_stream.read_feed(d.spark, path, schema)
-    view = f"shopfloor_stream_{table}"
-    feed.createOrReplaceTempView(view)
-    return d.spark.sql(SQL[binding].replace("{" + table + "}", view))
+@query
+def csv_reload(d: Domain) -> DataFrame:
+    out = work_dir(d.spark, "csv")
+    d["contact"].write.option("header", True).option("escape", '"').csv(out)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in d["contact"].schema)
+    return files.load_csv_overwrite(_tables(d), out, schema, _name("contact"))
+
 
+@query
+def csv_lenient(d: Domain) -> DataFrame:
+    """Part lines with one field too few, as many as wanted, or one too many; the first kind is skipped."""
+    out, key = work_dir(d.spark, "lenient"), F.col("p_partkey")
+    fields = F.when(key % 3 == 0, F.array("p_partkey")).when(key % 3 == 1, F.array("p_partkey", "p_size"))
+    line = F.array_join(F.coalesce(fields, F.array("p_partkey", "p_size", F.lit(7), F.lit(9))).cast("array<string>"), ",")
+    d["part"].select(line.alias("key,size,extra")).write.option("header", True).option("sep", "\u0001").csv(out)
+    return files.read_csv_lenient(d.spark, out, "key INT, size INT, extra INT", min_fields=2)
 
-def _drain(d: Domain, stream: DataFrame, label: str, keys: tuple[str, ...]) -> DataFrame:
-    out = work_dir(d.spark, label)
-    chat_stream.run_available(stream, chat_stream.batch_sink(f"{out}/rows", keys), f"{out}/checkpoint")
-    return d.spark.read.schema(stream.schema).parquet(f"{out}/rows").select(*stream.columns)
+
+@query
+def envelopes(d: Domain) -> DataFrame:
+    """Messages packed into JSON-line envelopes, with malformed lines among them, read back."""
+    out = work_dir(d.spark, "envelopes")
+    packed = F.to_json(F.struct(F.array(F.struct(F.col("seq").cast("string").alias("seq"), "msgid", "message")).alias("chatdata")))
+    good = d["raw_message"].select(packed.alias("value"))
+    good.unionAll(d["raw_message"].select(F.concat(F.lit("{broken "), "msgid").alias("value"))).write.text(out)
+    return files.read_envelopes(d.spark, out)
+
+
+@query
+def manifest_round_trip(d: Domain) -> DataFrame:
+    out = work_dir(d.spark, "manifest")
+    files.write_manifest(chat.media_manifest(_curated(d)), out)
+    return files.read_manifest(d.spark, out)
+
+
+@query
+def staged_table(d: Domain) -> DataFrame:
+    return _tables(d).materialize(d["part"].select("p_partkey", "p_brand", "p_size"), _name("staged"), dist="p_brand", sort=["p_brand", "p_partkey"])
+
+
+@query
+def bucketed_table(d: Domain) -> DataFrame:
+    return _tables(d).materialize(d["part"].select("p_partkey", "p_brand"), _name("bucketed"), dist="p_brand", sort=["p_brand"], buckets=4)
+
+
+@query
+def published_table(d: Domain) -> DataFrame:
+    tables, name = _tables(d), _name("published")
+    tables.publish(d["part"].select("p_partkey", "p_type"), name)
+    return transactions.stamp_load_date(tables.publish(d["part"].where("p_size > 10").select("p_partkey", "p_type"), name)).select(
+        "p_partkey", "p_type", (F.col("md_created_date") == F.current_date()).alias("stamped_today")
+    )
+
+
+@query
+def daily_export(d: Domain) -> DataFrame:
+    out, part = work_dir(d.spark, "export"), d["part"].select("p_partkey", "p_name")
+    for day, rows in ((1, part), (2, part), (2, part.where("p_partkey % 2 = 0"))):  # the second day is written again
+        files.export_daily(rows, out, dt.date(2024, 1, day))
+    return d.spark.read.csv(out, schema="p_partkey BIGINT, p_name STRING, ds STRING", header=True, escape='"')
+
+
+@query
+def normalize_counts(d: Domain) -> DataFrame:
+    """Counts over the raw messages and as many broken ones for every other message."""
+    raw = d["raw_message"]
+    broken = raw.where("seq % 2 = 0").withColumn("message", F.substring("message", 1, 20))
+    return chat.normalize_counts(raw.unionByName(broken))
+
+
+# --- streaming ------------------------------------------------------------------------
+
+
+def _feed(d: Domain, rows: DataFrame, label: str, files_: int = 3) -> DataFrame:
+    """``rows`` written as several files and read as a stream, one file a micro-batch."""
+    path = work_dir(d.spark, f"{label}-feed")
+    rows.repartition(files_).write.parquet(path)
+    return chat_stream.read_feed(d.spark, path, rows.schema, max_files=1)
 
 
 @query
 def stream_normalize(d: Domain) -> DataFrame:
-    rows = chat_stream.stream_normalize(_stream(d, "conversations", "raw_message"), with_ext=True)
-    return _drain(d, rows, "normalize", ("seq", "receiver"))
+    out = work_dir(d.spark, "normalize")
+    rows = chat_stream.stream_normalize(_feed(d, d["raw_message"], "normalize"), with_ext=True)
+    chat_stream.run_available(rows, chat_stream.batch_sink(f"{out}/rows"), f"{out}/checkpoint")
+    return d.spark.read.schema(rows.schema).parquet(f"{out}/rows").select(*rows.columns)
 
 
 @query
 def stream_dedup(d: Domain) -> DataFrame:
-    rows = chat_stream.stream_normalize(_stream(d, "conversations", "raw_message"))
-    once = chat_stream.dedup_stream(rows.unionAll(rows)).select("seq", "receiver", "msgtype")
-    return _drain(d, once, "dedup", ("seq", "receiver"))
+    """Every message arrives twice, in different files as a rule, some without time."""
+    out = work_dir(d.spark, "dedup")
+    twice = d["raw_message"].unionAll(d["raw_message"])
+    rows = chat_stream.stream_normalize(_feed(d, twice, "dedup", 4), with_position=True).select("seq", "_position", "receiver", "msgtype")
+    chat_stream.run_available(rows, chat_stream.merge_sink(f"{out}/rows"), f"{out}/checkpoint")
+    return d.spark.read.schema(rows.schema).parquet(f"{out}/rows").select("seq", "receiver", "msgtype")
 
 
 @query
 def stream_sessions(d: Domain) -> DataFrame:
-    chats = _stream(d, "events", "chat_message").select(
-        F.col("sender_external_userid").alias("sender"), F.col("receiver_external_userid").alias("receiver"), "msgtime"
-    )
-    return _drain(d, chat_stream.stream_sessions(chats), "sessions", ("sender", "receiver", "opened_at")).select(
-        "sender", "receiver", *(F.col(c).cast("timestamp_ntz").alias(c) for c in ("opened_at", "closed_at")), "messages"
-    )
+    out, when = work_dir(d.spark, "sessions"), F.col("msgtime").cast("timestamp_ntz")
+    chats = d["chat_message"].select(
+        F.col("sender_external_userid").alias("sender"), F.col("receiver_external_userid").alias("receiver"),
+        when.alias("msgtime"), F.to_date(when).alias("msg_date"),
+    )
+    chat_stream.run_available(_feed(d, chats, "sessions"), chat_stream.session_sink(out), f"{out}/checkpoint")
+    return chat_stream.latest_sessions(d.spark, out)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution carries the scale story: it measures every shuffle, splits
 # hot partitions, and only broadcasts a side whose measured size is small.
@@ -39,12 +39,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, shared: s
     return session
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``. Only where a session on one machine names none, a temporary one is set."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(base or tempfile.mkdtemp(prefix="shopfloor-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the shared folder named by ``spark.checkpoint.dir``.
-
-    Only when the session names none (local tests) a temporary folder is used.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="shopfloor-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh folder under the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame, label: str = "") -> DataFrame:
+    """``df`` stored once in the shared folder; usable as the ``stage`` of a plan."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)

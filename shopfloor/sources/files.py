@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import _parse_datatype_string
+from pyspark.sql.types import StructType
 
 from shopfloor.sources.schemas import ENVELOPE_JSON, MANIFEST_JSON
 from shopfloor.sources.tables import Tables
@@ -28,13 +28,13 @@ def read_csv_lenient(spark: SparkSession, path: str, schema: str, min_fields: in
     Longer rows lose their surplus, rows between ``min_fields`` and the full width get NULLs.
     The field count is taken from the raw line, kept beside the parsed columns.
     """
-    width = len(_parse_datatype_string(schema).fields)
+    width = len(StructType.fromDDL(schema).fields)
     extra = ", ".join(f"_f{i} STRING" for i in range(width))
     lines = spark.read.csv(
         path, schema=f"{extra}, _bad STRING", header=True, quote='"', escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_bad"
     )
-    names = [f.name for f in _parse_datatype_string(schema).fields]
-    types = [f.dataType for f in _parse_datatype_string(schema).fields]
+    names = [f.name for f in StructType.fromDDL(schema).fields]
+    types = [f.dataType for f in StructType.fromDDL(schema).fields]
     # Only a malformed line (wrong number of fields) has its text in _bad; it is re-split on its own quotes.
     fields = F.when(F.col("_bad").isNotNull(), F.size(F.regexp_extract_all("_bad", F.lit(r'("([^"]|"")*"|[^,]*)(,|$)'), 1)) - _ends_empty("_bad"))
     enough = F.col("_bad").isNull() | (fields >= min_fields)

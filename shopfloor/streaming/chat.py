@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
+from shopfloor.operators.sessions import PAIR_DAY, session_minutes, sessions_of_minutes
 from shopfloor.plans.chat import normalize
 
 
@@ -24,45 +27,70 @@ def read_feed(
     return reader.load(folder)
 
 
-def stream_normalize(feed: DataFrame, with_ext: bool = False) -> DataFrame:
+def stream_normalize(feed: DataFrame, with_ext: bool = False, with_position: bool = False) -> DataFrame:
     """Same rows as the batch function; a map-only stream without state."""
-    return normalize(feed, with_ext=with_ext)
+    return normalize(feed, with_ext=with_ext, with_position=with_position)
 
 
-def dedup_stream(messages: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Drop repeated (seq, receiver) rows; state is kept only as long as the watermark needs."""
-    timed = messages.withColumn("event_time", F.to_timestamp("msgtime"))
-    return timed.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["seq", "receiver"])
+def batch_sink(path: str) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch writer that is safe to repeat: every micro-batch owns one folder and replaces it."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return write
 
 
-def stream_sessions(messages: DataFrame, gap: str = "60 minutes", delay: str = "1 hour") -> DataFrame:
-    """Sessions per sender and receiver as they close.
+def _earlier(batch: DataFrame, batch_id: int, path: str) -> DataFrame:
+    """What other batches before this one have written, whatever a replay of this one wrote before."""
+    at = batch.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(batch.sparkSession._jsc.hadoopConfiguration()).exists(at):
+        return batch.limit(0).withColumn("batch", F.lit(0))
+    schema = StructType([*batch.schema.fields, StructField("batch", IntegerType())])
+    return batch.sparkSession.read.schema(schema).parquet(path).where(F.col("batch") < batch_id)
 
-    An approximation of the batch rule: the gap is elapsed time rather than minute boundaries,
-    and a session may run past midnight.
+
+def merge_sink(path: str, keys: tuple[str, ...] = ("seq", "_position")) -> Callable[[DataFrame, int], None]:
+    """A repeatable writer that keeps one row of each key over all micro-batches, however late the others come.
+
+    A message that names a receiver twice keeps both rows, as its positions differ. Earlier batches are read by key only.
     """
-    timed = messages.withColumn("event_time", F.to_timestamp("msgtime")).withWatermark("event_time", delay)
-    window = F.session_window("event_time", gap)
-    return (
-        timed.groupBy("sender", "receiver", window.alias("w"))
-        .agg(F.count(F.lit(1)).alias("messages"))
-        .select("sender", "receiver", F.col("w.start").alias("opened_at"), F.col("w.end").alias("closed_at"), "messages")
-    )
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        seen = _earlier(batch, batch_id, path).select(*(F.col(k).alias(f"_seen_{k}") for k in keys))
+        known = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_seen_{k}")) for k in keys))
+        new = batch.dropDuplicates(list(keys)).join(seen, known, "left_anti")
+        new.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return write
 
-def batch_sink(path: str, keys: tuple[str, ...] = ("seq", "receiver")) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch writer that is safe to repeat.
 
-    Every micro-batch owns one folder and replaces it, so a batch replayed after a failure
-    leaves the same rows.
+def session_sink(path: str, gap: int = 60) -> Callable[[DataFrame, int], None]:
+    """A repeatable writer of sessions by the batch rule, exact however late messages come.
+
+    Each micro-batch stores its distinct minutes, and counts anew the sessions of the senders, receivers and days it
+    touches, from all minutes so far. ``latest_sessions`` reads the newest count of each.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.dropDuplicates(list(keys)).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        at = f"{path}/minutes"
+        minutes = session_minutes(batch).distinct()
+        minutes.write.mode("overwrite").parquet(f"{at}/batch={batch_id}")
+        new = batch.sparkSession.read.schema(minutes.schema).parquet(f"{at}/batch={batch_id}")
+        touched = new.select(*(F.col(k).alias(f"_{k}") for k in PAIR_DAY)).distinct()
+        same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in PAIR_DAY))
+        whole = _earlier(new, batch_id, at).drop("batch").join(touched, same, "left_semi").unionByName(new)
+        sessions_of_minutes(whole, gap).write.mode("overwrite").parquet(f"{path}/sessions/batch={batch_id}")
 
     return write
 
 
+def latest_sessions(spark: SparkSession, path: str) -> DataFrame:
+    """Sessions per sender, receiver and day after the last micro-batch."""
+    rows = spark.read.schema("sender STRING, receiver STRING, msg_date DATE, sessions BIGINT, batch INT").parquet(f"{path}/sessions")
+    return rows.groupBy(*PAIR_DAY).agg(F.max_by("sessions", "batch").alias("sessions"))
+
+
 def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     """Process everything available, then stop; the checkpoint resumes the next call after it."""
     query = (

@@ -47,6 +47,11 @@ def test_strip_chars_deletes_a_set(spark):
     assert one(spark, C.strip_chars(F.col("a"), "BA"), a="AB-12BA") == "-12"
 
 
+def test_round_half_up_rounds_once(spark):
+    for x, want in ((0.0049996, 0.0), (1.0049997, 1.0), (1e13 + 0.25, 1e13 + 0.25), (-0.125, -0.13), (2.5049999, 2.5)):
+        assert float(one(spark, C.round_half_up(F.col("a")), a=x)) == want
+
+
 def test_round_half_up_ignores_binary_tail(spark):
     assert float(one(spark, C.round_half_up(F.col("a")), a=1.005)) == 1.01
     assert float(one(spark, C.round_half_up(F.col("a")), a=-2.675)) == -2.68
@@ -55,7 +60,6 @@ def test_round_half_up_ignores_binary_tail(spark):
 def test_text_helpers(spark):
     assert one(spark, C.clean_control(F.col("a")), a="a\tb\nc") == "a b c"
     assert one(spark, C.is_blank(F.col("a")), a="  ") is True
-    assert one(spark, C.position(F.col("a"), "*"), a="OC*") == 3
     assert one(spark, C.two_digit_year(F.col("a")), a="FY24") == 2024
     assert one(spark, C.two_digit_year(F.col("a")), a="none") is None
     assert one(spark, C.is_external_id(F.col("a")), a="wbx") is False
@@ -322,8 +326,9 @@ def test_calendar_year_boundary(spark):
 # --- chat -----------------------------------------------------------------------------
 
 
-def _norm(spark, *texts):
-    return chat.normalize(spark.createDataFrame([(i, f"m{i}", t) for i, t in enumerate(texts)], "seq int, msgid string, message string"), with_ext=True)
+def _norm(spark, *texts, **limits):
+    feed = spark.createDataFrame([(i, f"m{i}", t) for i, t in enumerate(texts)], "seq int, msgid string, message string")
+    return chat.normalize(feed, with_ext=True, **limits)
 
 
 def test_receiver_shapes(spark):
@@ -351,6 +356,8 @@ def test_payload_rules(spark):
         '{"msgtype":"file","file":{"sdkfileid":"short","fileext":"{oops}"},"tolist":["r"]}',
         '{"msgtype":"image","image":{"sdkfileid":"%s","md5sum":"q","fileext":"zip"},"tolist":["r"]}' % long_id,
         '{"msgtype":"text","text":{"content":"a\tb"},"tolist":["r"]}',
+        max_record_chars=60000,
+        min_media_id_chars=32,
     )
     by_seq = {r.seq: r for r in got.collect()}
     assert by_seq[0].raw_json == "{}"
@@ -385,3 +392,52 @@ def test_error_labels_and_codes(spark):
     assert [(r.error_class, r.retryable) for r in telemetry.classify(log).collect()] == [("网络波动", True), ("未知错误(10003)", True), ("未知错误(5)", False)]
     assert rows(telemetry.error_codes(log), "ret_code") == [(10003,), (5,)]
     assert telemetry.error_codes(log, exclude=()).count() == 3
+
+
+def _normalized(spark, *messages):
+    feed = spark.createDataFrame([(i, f"m{i}", m) for i, m in enumerate(messages)], "seq long, msgid string, message string")
+    return chat.normalize(feed, with_ext=True)
+
+
+def test_receivers_follow_the_type_of_the_list(spark):
+    cases = {
+        '{"tolist":["p","q"],"msgtype":"chatrecord","chatrecord":{"tolist":"z"}}': ["p", "q"],
+        '{"tolist" : "x"}': ['"x"'],
+        '{"tolist":"[1]"}': ['"[1]"'],
+        '{"tolist": [ "p" , "p" ]}': ["p", "p"],
+        '{"tolist":7}': ["7"],
+        '{"tolist":null}': ["null"],
+        '{"tolist":{"a":1}}': ['{"a":1}'],
+        '{"tolist":[]}': [],
+        '{"a":1}': [""],
+    }
+    got = {}
+    for r in _normalized(spark, *cases).collect():
+        got.setdefault(r["seq"], []).append(r["receiver"])
+    assert [got.get(i, []) for i in range(len(cases))] == list(cases.values())
+
+
+def test_payloads_and_media_ids_stay_whole(spark):
+    long = '{"msgtype":"chatrecord","chatrecord":{"item":"' + "x" * 70000 + '"}}'
+    short = '{"msgtype":"image","image":{"sdkfileid":"abc"}}'
+    nested = '{"msgtype":"file","file":{"fileext" : {"fileext":"pdf"}}}'
+    rows = {r["seq"]: r for r in _normalized(spark, long, short, nested).collect()}
+    assert len(rows[0]["raw_json"]) > 70000 and rows[1]["sdkfileid"] == "abc" and rows[2]["fileext"] == ""
+    feed = spark.createDataFrame([(0, "a", long), (1, "b", short), (2, "c", "{oops")], "seq long, msgid string, message string")
+    limited = {r["seq"]: r for r in chat.normalize(feed, max_record_chars=60000, min_media_id_chars=32).collect()}
+    assert limited[0]["raw_json"] == "{}" and limited[1]["sdkfileid"] == ""
+    assert tuple(chat.normalize_counts(feed).first()) == (3, 2, 1)
+    assert [r["msgid"] for r in chat.rejected_messages(feed).collect()] == ["c"]
+
+
+def test_fact_counts_products_of_equal_look_once(spark, folder):
+    """Product rows of one id that differ in unseen columns only must not repeat a line."""
+    from dataclasses import replace
+
+    from shopfloor import registry
+    from shopfloor.bindings import Domain
+
+    src = registry._txn_sources(Domain(spark, folder.replace("sf0.01", "sf0.001")))
+    unseen = src.products.withColumn("upc_code", F.lit("other")).withColumn("sku", F.lit("other"))
+    plain = transactions.transaction_fact(src).count()
+    assert transactions.transaction_fact(replace(src, products=src.products.unionByName(unseen))).count() == plain

@@ -116,7 +116,7 @@ def test_stream_equals_batch_and_resumes(spark, folder, tmp_path):
     chat_stream.run_available(stream, chat_stream.batch_sink(out), mark)  # only the new file
     chat_stream.run_available(stream, chat_stream.batch_sink(out), mark)  # nothing left
     got = spark.read.parquet(out).select(*stream.columns)
-    assert _rows(got) == _rows(chat.normalize(raw).dropDuplicates(["seq", "receiver"]))
+    assert _rows(got) == _rows(chat.normalize(raw))
     assert len([d for d in os.listdir(out) if d.startswith("batch=")]) > 2
 
 
@@ -125,28 +125,34 @@ def test_replayed_batch_leaves_the_same_rows(spark, tmp_path):
     sink = chat_stream.batch_sink(str(tmp_path / "sink"))
     sink(batch, 0)
     sink(batch, 0)
-    assert _rows(spark.read.parquet(str(tmp_path / "sink")).select("seq", "receiver")) == [(1, "a"), (2, "b")]
+    assert _rows(spark.read.parquet(str(tmp_path / "sink")).select("seq", "receiver")) == [(1, "a"), (1, "a"), (2, "b")]
 
 
-def test_stream_sessions_against_brute_force(spark, tmp_path):
+def test_merge_sink_keeps_one_of_each_key_over_batches(spark, tmp_path):
+    schema, out = "seq int, _position int, receiver string", str(tmp_path / "merged")
+    batches = [[(1, 0, "a"), (1, 1, "a")], [(1, 0, "a"), (2, 0, "b"), (None, 0, "c")], [(None, 0, "c"), (1, 1, "a"), (3, 0, "d")]]
+    sink = chat_stream.merge_sink(out)
+    for n, rows in enumerate(batches):
+        sink(spark.createDataFrame(rows, schema), n)
+    for n in (1, 2):  # replayed after a failure
+        sink(spark.createDataFrame(batches[n], schema), n)
+    got = spark.read.parquet(out).select("seq", "_position", "receiver").collect()
+    assert sorted((r[0] or 0, r[1], r[2]) for r in got) == [(0, 0, "c"), (1, 0, "a"), (1, 1, "a"), (2, 0, "b"), (3, 0, "d")]
+
+
+def test_session_sink_equals_the_batch_rule(spark, tmp_path):
+    from shopfloor.operators.sessions import daily_sessions
+
     base = dt.datetime(2024, 1, 1, 10)
-    minutes = {"c1": [0, 59, 119, 200, 200], "c2": [30, 1000], "z": [5000]}  # z moves the watermark past the others
-    data = [("s", r, (base + dt.timedelta(minutes=m)).strftime("%Y-%m-%d %H:%M:%S")) for r, ms in minutes.items() for m in ms]
-    source, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
-    schema = "sender STRING, receiver STRING, msgtime STRING"
-    spark.createDataFrame(data, schema).coalesce(1).write.parquet(source)
-    stream = chat_stream.stream_sessions(chat_stream.read_feed(spark, source, schema))
-    chat_stream.run_available(stream, chat_stream.batch_sink(out, ("sender", "receiver", "opened_at")), mark)
-    want = []
-    for r in ("c1", "c2"):
-        run = []
-        for m in [*minutes[r], None]:
-            if run and (m is None or m - run[-1] > 60):
-                want.append((r, base + dt.timedelta(minutes=run[0]), base + dt.timedelta(minutes=run[-1] + 60), len(run)))
-                run = []
-            if m is not None:
-                run.append(m)
-    got = spark.read.parquet(out).select(
-        "receiver", F.col("opened_at").cast("timestamp_ntz"), F.col("closed_at").cast("timestamp_ntz"), "messages"
-    )
-    assert _rows(got) == sorted(want)
+    minutes = {"c1": [0, 59, 119, 200, 200, 900], "c2": [30, 1000], "z": [5000], "late": [10, 71, 131]}
+    data = [("s", r, base + dt.timedelta(minutes=m)) for r, ms in minutes.items() for m in ms] + [("s", "untimed", None)]
+    data = [(s, r, t, t and t.date()) for s, r, t in data]
+    schema = "sender STRING, receiver STRING, msgtime TIMESTAMP_NTZ, msg_date DATE"
+    sink = chat_stream.session_sink(str(tmp_path / "sessions"))
+    for n in range(3):  # every third message a batch: sessions open and close over batches, and come late
+        sink(spark.createDataFrame(data[n::3], schema), n)
+    sink(spark.createDataFrame(data[2::3], schema), 2)  # replayed after a failure
+    got = chat_stream.latest_sessions(spark, str(tmp_path / "sessions"))
+    key = lambda r: (r["receiver"], str(r["msg_date"]), r["sessions"])
+    want = daily_sessions(spark.createDataFrame(data, schema))
+    assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))
