@@ -60,3 +60,9 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def words_of(text: Column) -> Column:
     """The words of a text as an array; none for null or blank text."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WHITE), "")
+
+
+def lower_ascii(text: Column) -> Column:
+    """A-Z in lower case, every other character as it is."""
+    plain = F.octet_length(text) == F.length(text)
+    return F.when(plain, F.lower(text)).otherwise(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
