@@ -535,7 +535,8 @@ def stream_dedup(d: Domain) -> DataFrame:
     out = work_dir(d.spark, "dedup")
     twice = d["raw_message"].unionAll(d["raw_message"])
     rows = chat_stream.stream_normalize(_feed(d, twice, "dedup", 4), with_position=True).select("seq", "_position", "receiver", "msgtype")
-    chat_stream.run_available(rows, chat_stream.merge_sink(f"{out}/rows"), f"{out}/checkpoint")
+    once = chat_stream.dedup_stream(rows)
+    chat_stream.run_available(once, chat_stream.batch_sink(f"{out}/rows"), f"{out}/checkpoint", keyed_state=True)
     return d.spark.read.schema(rows.schema).parquet(f"{out}/rows").select("seq", "receiver", "msgtype")
 
 

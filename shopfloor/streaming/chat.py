@@ -41,45 +41,48 @@ def batch_sink(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def _earlier(batch: DataFrame, batch_id: int, path: str) -> DataFrame:
-    """What other batches before this one have written, whatever a replay of this one wrote before."""
-    at = batch.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
-    if not at.getFileSystem(batch.sparkSession._jsc.hadoopConfiguration()).exists(at):
-        return batch.limit(0).withColumn("batch", F.lit(0))
-    schema = StructType([*batch.schema.fields, StructField("batch", IntegerType())])
-    return batch.sparkSession.read.schema(schema).parquet(path).where(F.col("batch") < batch_id)
+def dedup_stream(rows: DataFrame, keys: tuple[str, ...] = ("seq", "_position")) -> DataFrame:
+    """One row of each key over the whole stream, however late the others come; a null equals a null.
 
-
-def merge_sink(path: str, keys: tuple[str, ...] = ("seq", "_position")) -> Callable[[DataFrame, int], None]:
-    """A repeatable writer that keeps one row of each key over all micro-batches, however late the others come.
-
-    A message that names a receiver twice keeps both rows, as its positions differ. Earlier batches are read by key only.
+    A message that names a receiver twice keeps both rows, as its positions differ. The keys seen so far are Spark's
+    keyed state: a micro-batch looks up its own keys only, and a replayed one starts from the state before it. Start it
+    with ``run_available(..., keyed_state=True)``, which keeps that state on disk instead of in executor memory.
     """
+    return rows.dropDuplicates(list(keys))
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        seen = _earlier(batch, batch_id, path).select(*(F.col(k).alias(f"_seen_{k}") for k in keys))
-        known = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_seen_{k}")) for k in keys))
-        new = batch.dropDuplicates(list(keys)).join(seen, known, "left_anti")
-        new.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    return write
+def _days(path: str, spark: SparkSession, days: list) -> list[str]:
+    """The folders under ``path`` that hold rows of the given days."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = [f"{path}/msg_date={'__HIVE_DEFAULT_PARTITION__' if d is None else d}" for d in days]
+    return [f for f in folders if fs.exists(fs_path(f))]
 
 
 def session_sink(path: str, gap: int = 60) -> Callable[[DataFrame, int], None]:
     """A repeatable writer of sessions by the batch rule, exact however late messages come.
 
-    Each micro-batch stores its distinct minutes, and counts anew the sessions of the senders, receivers and days it
-    touches, from all minutes so far. ``latest_sessions`` reads the newest count of each.
+    Each micro-batch stores its distinct minutes by day, and counts anew the sessions of the senders, receivers and days
+    it touches. It lists and reads the folders of those days alone, whatever the history holds besides.
+    ``latest_sessions`` reads the newest count of each.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        at = f"{path}/minutes"
+        spark, at = batch.sparkSession, f"{path}/minutes"
         minutes = session_minutes(batch).distinct()
-        minutes.write.mode("overwrite").parquet(f"{at}/batch={batch_id}")
-        new = batch.sparkSession.read.schema(minutes.schema).parquet(f"{at}/batch={batch_id}")
-        touched = new.select(*(F.col(k).alias(f"_{k}") for k in PAIR_DAY)).distinct()
+        schema = StructType([*minutes.schema.fields, StructField("batch", IntegerType())])
+        # Overwrites this batch's own folders only: msg_date=.../batch=n.
+        by_day = minutes.withColumn("batch", F.lit(batch_id)).repartition("msg_date", "sender", "receiver")
+        by_day.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("msg_date", "batch").parquet(at)
+
+        days = [r[0] for r in minutes.select("msg_date").distinct().collect()]  # one row a day of the batch
+        folders = _days(at, spark, days)
+        if not folders:  # an empty batch
+            return
+        known = spark.read.schema(schema).option("basePath", at).parquet(*folders).where(F.col("batch") <= batch_id)
+        touched = known.where(F.col("batch") == batch_id).select(*(F.col(k).alias(f"_{k}") for k in PAIR_DAY)).distinct()
         same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in PAIR_DAY))
-        whole = _earlier(new, batch_id, at).drop("batch").join(touched, same, "left_semi").unionByName(new)
+        whole = known.drop("batch").join(touched, same, "left_semi").distinct()
         sessions_of_minutes(whole, gap).write.mode("overwrite").parquet(f"{path}/sessions/batch={batch_id}")
 
     return write
@@ -91,10 +94,25 @@ def latest_sessions(spark: SparkSession, path: str) -> DataFrame:
     return rows.groupBy(*PAIR_DAY).agg(F.max_by("sessions", "batch").alias("sessions"))
 
 
-def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+#: Keyed state in RocksDB, of which a checkpoint stores what a micro-batch changed.
+KEYED_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def run_available(
+    stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, keyed_state: bool = False
+) -> StreamingQuery:
     """Process everything available, then stop; the checkpoint resumes the next call after it."""
-    query = (
-        stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+    conf = stream.sparkSession.conf
+    before = {k: conf.get(k, None) for k in KEYED_STATE} if keyed_state else {}
+    for key in before:
+        conf.set(key, KEYED_STATE[key])
+    try:  # a query takes its settings when it starts
+        query = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        for key, value in before.items():
+            conf.unset(key) if value is None else conf.set(key, value)
     query.awaitTermination()
     return query

@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from shopfloor.bindings import Domain
@@ -128,18 +129,65 @@ def test_replayed_batch_leaves_the_same_rows(spark, tmp_path):
     assert _rows(spark.read.parquet(str(tmp_path / "sink")).select("seq", "receiver")) == [(1, "a"), (1, "a"), (2, "b")]
 
 
-def test_merge_sink_keeps_one_of_each_key_over_batches(spark, tmp_path):
-    schema, out = "seq int, _position int, receiver string", str(tmp_path / "merged")
-    batches = [[(1, 0, "a"), (1, 1, "a")], [(1, 0, "a"), (2, 0, "b"), (None, 0, "c")], [(None, 0, "c"), (1, 1, "a"), (3, 0, "d")]]
-    sink = chat_stream.merge_sink(out)
+def _files_in_order(spark, folder, schema, batches):
+    """One file a batch, read one a micro-batch in the order written."""
     for n, rows in enumerate(batches):
-        sink(spark.createDataFrame(rows, schema), n)
-    for n in (1, 2):  # replayed after a failure
-        sink(spark.createDataFrame(batches[n], schema), n)
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+    return chat_stream.read_feed(spark, folder, schema, max_files=1)
+
+
+def test_dedup_stream_keeps_one_of_each_key_over_batches(spark, tmp_path):
+    schema, out, mark = "seq int, _position int, receiver string", str(tmp_path / "rows"), str(tmp_path / "mark")
+    batches = [[(1, 0, "a"), (1, 1, "a")], [(1, 0, "a"), (2, 0, "b"), (None, 0, "c")], [(None, 0, "c"), (1, 1, "a"), (3, 0, "d")]]
+    once = chat_stream.dedup_stream(_files_in_order(spark, str(tmp_path / "in"), schema, batches))
+    write = chat_stream.batch_sink(out)
+
+    def failing(batch, batch_id):
+        write(batch, batch_id)
+        if batch_id == 1:
+            raise RuntimeError("lost after writing")
+
+    with pytest.raises(Exception, match="lost after writing"):
+        chat_stream.run_available(once, failing, mark, keyed_state=True)
+    chat_stream.run_available(once, write, mark, keyed_state=True)  # replays the second batch from the state before it
     got = spark.read.parquet(out).select("seq", "_position", "receiver").collect()
     assert sorted((r[0] or 0, r[1], r[2]) for r in got) == [(0, 0, "c"), (1, 0, "a"), (1, 1, "a"), (2, 0, "b"), (3, 0, "d")]
 
 
+def test_dedup_stream_looks_up_its_own_keys_only(spark, tmp_path):
+    """Twenty batches of ten new keys and ten old ones: what a batch touches does not grow with the history."""
+    batches = [[(n * 10 + k, 0) for k in range(10)] + [(max(0, n - 1) * 10 + k, 0) for k in range(10)] for n in range(20)]
+    feed = _files_in_order(spark, str(tmp_path / "in"), "seq int, _position int", batches)
+    query = chat_stream.run_available(
+        chat_stream.dedup_stream(feed), chat_stream.batch_sink(str(tmp_path / "rows")), str(tmp_path / "mark"), keyed_state=True
+    )
+    progress = [p for p in query.recentProgress if p["numInputRows"]]
+    assert [p["numInputRows"] for p in progress] == [20] * 20
+    state = [p["stateOperators"][0] for p in progress]
+    assert [s["numRowsTotal"] for s in state][-1] == 200 and all(s["numRowsUpdated"] == 10 for s in state)
+    looked_up = [s["customMetrics"]["rocksdbGetCount"] for s in state]
+    assert max(looked_up) <= 40 and looked_up[-1] <= looked_up[1]
+    assert spark.read.parquet(str(tmp_path / "rows")).count() == 200
+
+
+def test_session_sink_reads_touched_days_only(spark, tmp_path):
+    """Files of other days may even be unreadable."""
+    out, schema = str(tmp_path / "sessions"), "sender STRING, receiver STRING, msgtime TIMESTAMP_NTZ, msg_date DATE"
+    sink = chat_stream.session_sink(out)
+    message = lambda day, minute: ("s", "r", dt.datetime(2024, 1, day, 10) + dt.timedelta(minutes=minute), dt.date(2024, 1, day))
+    for n, day in enumerate((1, 2, 3)):
+        sink(spark.createDataFrame([message(day, 0)], schema), n)
+    for day in (1, 3):
+        for folder, _, names in os.walk(f"{out}/minutes/msg_date=2024-01-0{day}"):
+            for name in names:
+                with open(os.path.join(folder, name), "wb") as broken:
+                    broken.write(b"not parquet")
+    sink(spark.createDataFrame([message(2, 200), message(4, 0)], schema), 3)
+    sink(spark.createDataFrame([], schema), 4)
+    got = {str(r["msg_date"]): r["sessions"] for r in chat_stream.latest_sessions(spark, out).collect()}
+    assert got == {"2024-01-01": 1, "2024-01-02": 2, "2024-01-03": 1, "2024-01-04": 1}
+
+
 def test_session_sink_equals_the_batch_rule(spark, tmp_path):
     from shopfloor.operators.sessions import daily_sessions
 
