@@ -8,6 +8,7 @@ instead of a range join.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,11 +72,14 @@ def period_days(periods: DataFrame, code: str, label: str, date: str) -> DataFra
 def attach_periods(df: DataFrame, periods: DataFrame, date: str = "msg_date") -> DataFrame:
     """Add fiscal week, month, quarter and year labels; a day outside the calendar gets NULLs.
 
-    Overlapping ranges of one kind repeat the row, as a range join would.
+    Overlapping ranges of one kind repeat the row, as a range join would. The labels meet in one table of the calendar's
+    days first, so the rows of ``df`` take part in a single join.
     """
-    for code, label in PERIOD_LABELS.items():
-        df = df.join(period_days(periods, code, label, date), date, "left")
-    return df
+    kinds = [period_days(periods, code, label, date) for code, label in PERIOD_LABELS.items()]
+    days = reduce(DataFrame.unionByName, [k.select(date) for k in kinds]).distinct()
+    for kind in kinds:
+        days = days.join(kind, date, "left")
+    return df.join(days, date, "left")
 
 
 def fiscal_keys(df: DataFrame) -> DataFrame:

@@ -41,6 +41,8 @@ MEASURES = (
 # ----------------------------------------------------------------------------------------
 
 ORG = ("name", "local_name", "store_nbr", "counter_type_code", "region", "region_detail")
+#: What the organisation levels look at.
+PLACE = ("local_name", "store_nbr", "counter_type_code", "region", "region_detail")
 PERIODS = {"WTD": "fiscal_week", "MTD": "fiscal_month", "QTD": "fiscal_quarter", "YTD": "fiscal_year"}
 
 
@@ -386,8 +388,23 @@ def org_levels() -> dict[int, tuple[Column, Column]]:
     }
 
 
+def per_receiver(rows: DataFrame) -> DataFrame:
+    """Period rows folded to one per place, receiver, period and client class: sums, and whether there was any session."""
+    n = F.col("repeat")
+    return rows.groupBy(*PLACE, "receiver", "year", "time_period", "ordinal_number", "type").agg(
+        F.sum("people").alias("people"),
+        *(F.sum(F.col(c) * n).alias(c) for c in ("is_session", "is_quality_session", "successful_sales_amount", "consumption_amount")),
+        F.max("is_session").alias("any_session"),
+        F.max("is_quality_session").alias("any_quality_session"),
+    )
+
+
 def org_rollup(rows: DataFrame, levels: Sequence[int] = (0, 1, 2, 3, 4)) -> DataFrame:
-    """Measures at every organisation level in one pass over the period rows."""
+    """Measures at every organisation level in one pass over the period rows.
+
+    Rows are folded per place and receiver first, in the map tasks as well; what is spread over the levels is one row of
+    each such group. Receivers are counted once per level from those.
+    """
     known = org_levels()
     spread = F.inline(
         F.array(
@@ -398,7 +415,19 @@ def org_rollup(rows: DataFrame, levels: Sequence[int] = (0, 1, 2, 3, 4)) -> Data
         )
     )
     keys = ["organize_type", "organize", "store_name", "year", "time_period", "ordinal_number", "type"]
-    return measure(rows.select("*", spread), keys)
+    return distinct_counts(
+        per_receiver(rows).select("*", spread),
+        keys,
+        "receiver",
+        flags={"commnunation_people_count": F.col("any_session") >= 1, "quality_commnunation_people_count": F.col("any_quality_session") == 1},
+        sums={
+            "people": F.col("people"),
+            "commnunation_count": F.col("is_session"),
+            "quality_commnunation_count": F.col("is_quality_session"),
+            "successful_sales_amount": F.col("successful_sales_amount"),
+            "consumption_amount": F.col("consumption_amount"),
+        },
+    ).select(*keys, *MEASURES)
 
 
 def stamp(report: DataFrame, daily_adds: DataFrame) -> DataFrame:
