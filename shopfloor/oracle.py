@@ -341,6 +341,13 @@ JOIN (SELECT customer_id, min(txn_date) AS d FROM sales GROUP BY 1) f ON f.custo
     ),
 )
 _add("txn_order", _STORE_TABLES, (*_STORE, *_TXN_ORDER), "SELECT * FROM any_order")
+_add(
+    "bucketed_orders",
+    _STORE_TABLES,
+    (*_STORE, *_TXN_ORDER),
+    f"""SELECT b.txn_nbr, o.customer_id, o.rn, b.sku_id, {_d("b.item_sold_qty")} AS item_sold_qty, {_d("b.local_item_net_amt")} AS local_item_net_amt
+FROM any_order o JOIN base b ON b.txn_nbr = o.txn_nbr""",
+)
 _add("purchase_order", _STORE_TABLES, (*_STORE, *_PUR_ORDER), "SELECT * FROM sale_order")
 _add("first_purchase_txns", _STORE_TABLES, (*_STORE, *_FIRST), "SELECT * FROM first_day")
 
@@ -707,6 +714,7 @@ _add(
 )
 _add("envelopes", _RAW, (), "SELECT seq, msgid, message FROM raw_message")
 _add("normalize_counts", _RAW, (), "SELECT count(*) + count(*) FILTER (seq % 2 = 0) AS messages_read, count(*) AS messages_parsed, count(*) FILTER (seq % 2 = 0) AS messages_rejected FROM raw_message")
+_add("normalize_write_counts", _RAW, (), "SELECT count(*) + count(*) FILTER (seq % 2 = 0) AS messages_read, count(*) AS messages_parsed, count(*) FILTER (seq % 2 = 0) AS messages_rejected FROM raw_message")
 _add("csv_reload", ("contact",), (), "SELECT * FROM contact")
 _add("csv_lenient", (), (), "SELECT CAST(p_partkey AS INT) AS key, CAST(p_size AS INT) AS size, CASE WHEN p_partkey % 3 = 2 THEN 7 END AS extra FROM part WHERE p_partkey % 3 <> 0")
 _add("staged_table", (), (), "SELECT p_partkey, p_brand, p_size FROM part")
@@ -743,9 +751,8 @@ _add(
   (SELECT count(*) FROM checked WHERE usable) - (SELECT count(*) FROM manifest) AS duplicate_rows""",
 )
 _add("manifest_round_trip", _RAW, _MANIFEST, "SELECT * FROM manifest")
-_add("media_keys", _RAW, _MANIFEST, "SELECT msgtype, md5sum, 'raw/chat/media/' || msgtype || '/' || md5sum || '.' || fileext AS media_key FROM manifest")
 _add(
-    "manifest_counts",
+    "manifest_write_counts",
     _RAW,
     _MANIFEST,
     """SELECT (SELECT count(*) FROM checked) AS total_rows, (SELECT count(*) FROM manifest) AS valid_rows, (SELECT count(*) FROM checked WHERE NOT usable) AS skipped_rows,
@@ -790,11 +797,12 @@ _add("failure_files", _LOG, _FAIL, "SELECT error_class, sdkfileid, count(*) AS f
 _add("error_codes", _LOG, (), "SELECT ret_code, count(*) AS occurrences FROM failure_log WHERE ret_code <> 10001 GROUP BY 1")
 _add(
     "run_totals",
-    _LOG,
+    (*_LOG, "failure_lines"),
     (),
     """SELECT count(*) AS total_files, count(*) FILTER (status = 'success') AS success_files, count(*) FILTER (status = 'failed') AS failed_files,
   count(*) FILTER (status = 'expired') AS expired_files, round(count(*) FILTER (status = 'success') * 100.0 / count(*), 2) AS success_pct,
-  round(count(*) FILTER (status = 'failed') * 100.0 / count(*), 2) AS failed_pct FROM failure_log""",
+  round(count(*) FILTER (status = 'failed') * 100.0 / count(*), 2) AS failed_pct,
+  (SELECT count(*) FROM failure_lines WHERE line LIKE '[%] Type: %') AS failed_records FROM failure_log""",
 )
 _add(
     "failure_lines",

@@ -5,7 +5,7 @@ The same functions serve batch frames and streams (see ``shopfloor.streaming``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shopfloor.functions.columns import (
@@ -78,10 +78,12 @@ def rejected_messages(feed: DataFrame) -> DataFrame:
 
 def normalize_counts(feed: DataFrame) -> DataFrame:
     """One row: messages read, parsed and rejected."""
+    return _parsed(feed).agg(*_message_counts())
+
+
+def _message_counts() -> list[Column]:
     ok = F.col("_m").isNotNull()
-    return _parsed(feed).agg(
-        F.count(F.lit(1)).alias("messages_read"), F.count_if(ok).alias("messages_parsed"), F.count_if(~ok).alias("messages_rejected")
-    )
+    return [F.count(F.lit(1)).alias("messages_read"), F.count_if(ok).alias("messages_parsed"), F.count_if(~ok).alias("messages_rejected")]
 
 
 def _receivers(text: Column, listed: Column) -> Column:
@@ -102,14 +104,20 @@ def normalize(
     with_position: bool = False,
     max_record_chars: int | None = None,
     min_media_id_chars: int | None = None,
+    counts: Observation | str | None = None,
 ) -> DataFrame:
     """One row per message and receiver from (seq, msgid, message JSON text).
 
     The receiver list decides the rows: an array gives one per element (none when empty), no
     list gives one with an empty receiver, any other value one holding its JSON text.
     Payloads and media ids stay whole unless limits are given. See ``rejected_messages`` for what is no message.
+    ``counts`` receives the numbers of ``normalize_counts`` in the pass that writes the rows: an Observation for a batch,
+    a name for a stream, whose progress then reports them for every micro-batch.
     """
-    rows = _parsed(feed).where(F.col("_m").isNotNull())
+    parsed = _parsed(feed)
+    if counts is not None:
+        parsed = parsed.observe(counts, *_message_counts())
+    rows = parsed.where(F.col("_m").isNotNull())
     m = F.col("_m")
     receivers = _receivers(F.col("_text"), F.try_element_at(m, F.lit("tolist")))
     msgtype = json_text(m, "msgtype")
@@ -149,16 +157,36 @@ def _default_extension(msgtype: Column) -> Column:
     return expr.otherwise(OTHER_EXTENSION)
 
 
-def media_manifest(curated: DataFrame) -> DataFrame:
-    """Media files to fetch: valid rows, the first of each (type, checksum) by sequence."""
+def media_manifest(curated: DataFrame, counts: ManifestCounts | None = None) -> DataFrame:
+    """Media files to fetch: valid rows, the first of each (type, checksum) by sequence.
+
+    ``counts`` receives the numbers of ``manifest_counts`` in the pass that writes the manifest.
+    """
     order = [c for c in ("seq", "_position", "receiver") if c in curated.columns]
     kind = F.col("msgtype")
-    rows = _media_rows(curated).where("_usable")
+    rows = _media_rows(curated)
+    if counts is not None:
+        rows = rows.observe(counts.read, F.count(F.lit(1)).alias("total"), F.count_if("_usable").alias("usable"))
+    rows = rows.where("_usable")
     picked = first_wins(rows.select("msgtype", "sdkfileid", "md5sum", "fileext", *order), ["msgtype", "md5sum"], order)
+    if counts is not None:
+        picked = picked.observe(counts.kept, F.count(F.lit(1)).alias("files"))
     extension = F.when(kind == FILE_TYPE, F.col("fileext")).otherwise(_default_extension(kind))
     return picked.select("msgtype", "sdkfileid", "md5sum", extension.alias("fileext"))
 
 
+class ManifestCounts:
+    """Numbers of a manifest, known once it is written."""
+
+    def __init__(self) -> None:
+        self.read, self.kept = Observation(), Observation()
+
+    @property
+    def get(self) -> dict[str, int]:
+        total, usable, files = self.read.get["total"], self.read.get["usable"], self.kept.get["files"]
+        return {"total_rows": total, "valid_rows": files, "skipped_rows": total - usable, "duplicate_rows": usable - files}
+
+
 def manifest_counts(curated: DataFrame) -> DataFrame:
     """One row: total, valid, skipped and duplicate media rows."""
     per_file = _media_rows(curated).groupBy("_usable", F.when(F.col("_usable"), F.struct("msgtype", "md5sum")).alias("_file")).agg(

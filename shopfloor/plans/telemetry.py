@@ -47,8 +47,12 @@ def error_codes(log: DataFrame, exclude: Sequence[int] = (NETWORK_ERROR,)) -> Da
     return kept.groupBy("ret_code").agg(F.count(F.lit(1)).alias("occurrences"))
 
 
-def run_totals(log: DataFrame) -> DataFrame:
-    """One row: files in total, succeeded, failed, expired, and success and failure percentages."""
+def run_totals(log: DataFrame, failed_records: DataFrame | None = None) -> DataFrame:
+    """One row: files in total, succeeded, failed, expired, and success and failure percentages.
+
+    With ``failed_records``, the log of records that could not be processed, also their number, ``failed_records``. It is a
+    counter of its own: a record may fail before it names a file, and a file may fail in several records.
+    """
     status = F.col("status")
     totals = log.agg(
         F.count(F.lit(1)).alias("total_files"),
@@ -57,7 +61,10 @@ def run_totals(log: DataFrame) -> DataFrame:
         F.count_if(status == "expired").alias("expired_files"),
     )
     percent = lambda c: F.round(safe_div(F.col(c) * 100, F.col("total_files")), 2)
-    return totals.withColumn("success_pct", percent("success_files")).withColumn("failed_pct", percent("failed_files"))
+    totals = totals.withColumn("success_pct", percent("success_files")).withColumn("failed_pct", percent("failed_files"))
+    if failed_records is None:
+        return totals
+    return totals.withColumn("failed_records", failed_records.agg(F.count(F.lit(1)).alias("n")).select("n").scalar())
 
 
 def parse_failures(lines: DataFrame, column: str = "line") -> DataFrame:

@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -363,6 +363,14 @@ def manifest_counts(d: Domain) -> DataFrame:
     return chat.manifest_counts(_curated(d))
 
 
+@query
+def manifest_write_counts(d: Domain) -> DataFrame:
+    """The same counts, taken while the manifest is written."""
+    counts = chat.ManifestCounts()
+    files.write_manifest(chat.media_manifest(_curated(d), counts), work_dir(d.spark, "manifest"))
+    return d.spark.createDataFrame([counts.get], "total_rows BIGINT, valid_rows BIGINT, skipped_rows BIGINT, duplicate_rows BIGINT")
+
+
 @query
 def media_keys(d: Domain) -> DataFrame:
     return chat.media_key(chat.media_manifest(_curated(d))).select("msgtype", "md5sum", "media_key")
@@ -417,7 +425,8 @@ def error_codes(d: Domain) -> DataFrame:
 
 @query
 def run_totals(d: Domain) -> DataFrame:
-    return telemetry.run_totals(d["failure_log"])
+    lost = telemetry.parse_failures(d["failure_lines"])  # the log of failed records
+    return telemetry.run_totals(d["failure_log"], lost)
 
 
 @query
@@ -486,6 +495,15 @@ def bucketed_table(d: Domain) -> DataFrame:
     return _tables(d).materialize(d["part"].select("p_partkey", "p_brand"), _name("bucketed"), dist="p_brand", sort=["p_brand"], buckets=4)
 
 
+@query
+def bucketed_orders(d: Domain) -> DataFrame:
+    """Lines and order numbers, staged in equal buckets of the transaction, joined without moving either."""
+    lines = _lines(d).select("txn_nbr", "sku_id", "item_sold_qty", "local_item_net_amt")
+    staged = _tables(d).materialize(lines, _name("lines"), dist="txn_nbr", sort=["txn_nbr"], buckets=8)
+    numbers = transactions.customer_sequence(_order_lines(d)).select("txn_nbr", "customer_id", "rn")
+    return _tables(d).materialize(numbers, _name("numbers"), dist="txn_nbr", sort=["txn_nbr"], buckets=8).join(staged, "txn_nbr")
+
+
 @query
 def published_table(d: Domain) -> DataFrame:
     tables, name = _tables(d), _name("published")
@@ -503,12 +521,26 @@ def daily_export(d: Domain) -> DataFrame:
     return d.spark.read.csv(out, schema="p_partkey BIGINT, p_name STRING, ds STRING", header=True, escape='"')
 
 
+def _with_broken(d: Domain) -> DataFrame:
+    """The raw messages and as many broken ones for every other message."""
+    raw = d["raw_message"]
+    return raw.unionByName(raw.where("seq % 2 = 0").withColumn("message", F.substring("message", 1, 20)))
+
+
+_MESSAGE_COUNTS = "messages_read BIGINT, messages_parsed BIGINT, messages_rejected BIGINT"
+
+
 @query
 def normalize_counts(d: Domain) -> DataFrame:
-    """Counts over the raw messages and as many broken ones for every other message."""
-    raw = d["raw_message"]
-    broken = raw.where("seq % 2 = 0").withColumn("message", F.substring("message", 1, 20))
-    return chat.normalize_counts(raw.unionByName(broken))
+    return chat.normalize_counts(_with_broken(d))
+
+
+@query
+def normalize_write_counts(d: Domain) -> DataFrame:
+    """The same counts, taken while the curated rows are written."""
+    counts = Observation()
+    chat.normalize(_with_broken(d), counts=counts).write.parquet(work_dir(d.spark, "curated"))
+    return d.spark.createDataFrame([counts.get], _MESSAGE_COUNTS)
 
 
 # --- streaming ------------------------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -67,8 +67,22 @@ def write_manifest(manifest: DataFrame, path: str) -> None:
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Manifest from JSON lines, or from one pretty-printed array when ``path`` ends in .json."""
-    return spark.read.schema(MANIFEST_JSON).json(path, multiLine=path.endswith(".json"))
+    """Manifest from JSON lines, or from one JSON array when ``path`` ends in .json.
+
+    The array is cut at its closing braces, so that several tasks read one large file. Its entries are flat objects; text
+    between two of them that is no such object ends the job with an error instead of losing entries.
+    """
+    if not path.endswith(".json"):
+        return spark.read.schema(MANIFEST_JSON).json(path)
+    pieces = spark.read.option("lineSep", "}").text(path)
+    body = F.trim(F.regexp_replace("value", r"^\s*[\[,]?\s*|\s+$", ""))
+    entry = F.from_json(F.concat(body, F.lit("}")), MANIFEST_JSON, {"mode": "FAILFAST"})
+    parsed = pieces.where(~body.isin("", "]")).select(F.when(body.startswith("{"), entry).otherwise(_refused(body)).alias("e"))
+    return parsed.select("e.*")
+
+
+def _refused(text: Column) -> Column:
+    return F.raise_error(F.concat(F.lit("not an array of flat manifest entries: "), F.substring(text, 1, 80)))
 
 
 def export_daily(df: DataFrame, path: str, day: dt.date) -> None:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -57,12 +58,45 @@ class Tables:
         """An empty table with the columns of another."""
         self.spark.table(self.name(source)).limit(0).write.mode("overwrite").format("parquet").saveAsTable(self.name(target))
 
-    def publish(self, df: DataFrame, table: str) -> DataFrame:
-        """Recreate ``table`` with the frame's schema, then insert the rows."""
-        df.limit(0).write.mode("overwrite").format("parquet").saveAsTable(self.name(table))
-        df.write.insertInto(self.name(table))
-        return self.spark.table(self.name(table))
+    def publish(self, df: DataFrame, table: str, check: Callable[[DataFrame], bool] | None = None) -> DataFrame:
+        """Replace what readers of ``table`` see by the frame's rows, in one step and only when all of them are stored.
+
+        The rows go to a stored table of their own; ``table`` is a view that is then switched to it. Until the switch,
+        and for good if writing or ``check`` (of the stored rows) fails, readers have the old rows. The version before
+        stays for readers that began with it, older ones go.
+        """
+        target = self.name(table)
+        version = f"{target}__{uuid.uuid4().hex}"
+        written = Observation()
+        try:
+            df.observe(written, F.count(F.lit(1)).alias("n")).write.format("parquet").saveAsTable(version)
+            stored = self.spark.table(version)
+            if stored.count() != written.get["n"] or not (check is None or check(stored)):
+                raise ValueError(f"{target}: the rows stored for publication fail the check")
+        except Exception:
+            self.spark.sql(f"DROP TABLE IF EXISTS {version}")
+            raise
+        versions = self._versions(target)
+        if self.spark.catalog.tableExists(target) and not versions:
+            raise ValueError(f"{target} is a table of its own, not a publication; drop it first")
+        kept = [version, *versions[:1]]
+        self.spark.sql(f"CREATE OR REPLACE VIEW {target} TBLPROPERTIES ('versions' = '{','.join(kept)}') AS SELECT * FROM {version}")
+        for old in versions[1:]:
+            self.spark.sql(f"DROP TABLE IF EXISTS {old}")
+        return self.spark.table(target)
+
+    def _versions(self, target: str) -> list[str]:
+        """The stored tables behind a publication, newest first; none for anything else."""
+        if not self.spark.catalog.tableExists(target):
+            return []
+        found = self.spark.sql(f"SHOW TBLPROPERTIES {target}").where("key = 'versions'").collect()
+        return found[0]["value"].split(",") if found else []
 
     def drop(self, *tables: str) -> None:
         for t in tables:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(t)}")
+            target = self.name(t)
+            versions = self._versions(target)
+            if versions:
+                self.spark.sql(f"DROP VIEW {target}")
+            for stored in versions or [target]:
+                self.spark.sql(f"DROP TABLE IF EXISTS {stored}")

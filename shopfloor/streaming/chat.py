@@ -27,9 +27,12 @@ def read_feed(
     return reader.load(folder)
 
 
-def stream_normalize(feed: DataFrame, with_ext: bool = False, with_position: bool = False) -> DataFrame:
-    """Same rows as the batch function; a map-only stream without state."""
-    return normalize(feed, with_ext=with_ext, with_position=with_position)
+def stream_normalize(feed: DataFrame, with_ext: bool = False, with_position: bool = False, counts: str | None = None) -> DataFrame:
+    """Same rows as the batch function; a map-only stream without state.
+
+    With ``counts`` each micro-batch's progress reports its messages read, parsed and rejected under that name.
+    """
+    return normalize(feed, with_ext=with_ext, with_position=with_position, counts=counts)
 
 
 def batch_sink(path: str) -> Callable[[DataFrame, int], None]:

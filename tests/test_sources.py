@@ -204,3 +204,59 @@ def test_session_sink_equals_the_batch_rule(spark, tmp_path):
     key = lambda r: (r["receiver"], str(r["msg_date"]), r["sessions"])
     want = daily_sessions(spark.createDataFrame(data, schema))
     assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))
+
+
+def test_failed_publish_leaves_the_old_rows(spark):
+    tables, name = Tables(spark), "t_live"
+    tables.publish(spark.range(5), name)
+    reader = spark.table(name)
+    late = spark.range(1000).select(F.when(F.col("id") < 999, F.col("id")).otherwise(F.raise_error(F.lit("lost"))).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        tables.publish(late, name)
+    with pytest.raises(ValueError, match="fail the check"):
+        tables.publish(spark.range(0), name, check=lambda stored: not stored.isEmpty())
+    assert spark.table(name).count() == 5
+    for n in (7, 8):
+        assert tables.publish(spark.range(n).select("id", F.lit("x").alias("more")), name).count() == n
+        assert n == 8 or reader.count() == 5  # a reader that began before the switch
+    stored = [t.name for t in spark.catalog.listTables() if t.name.startswith(f"{name}__")]
+    assert len(stored) == 2 and spark.table(name).columns == ["id", "more"]
+    tables.drop(name)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(name)]
+
+
+def test_bucketed_lines_and_order_numbers_join_in_place(spark, folder):
+    joined = QUERIES["bucketed_orders"](spark, folder)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = joined.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_manifest_array_is_read_by_several_tasks(spark, tmp_path):
+    entries = [{"msgtype": "image", "sdkfileid": f"{n:032d}", "md5sum": f"m{n}", "fileext": "jpg"} for n in range(3000)]
+    for name, text in (("a", json.dumps(entries, indent=2)), ("b", json.dumps(entries)), ("c", "[]"), ("d", "\n[ ]\n")):
+        path = _write(tmp_path / f"{name}.json", text)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+        try:
+            got = files.read_manifest(spark, path)
+            assert name in "cd" or got.rdd.getNumPartitions() > 3
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert _rows(got) == (sorted(tuple(e.values()) for e in entries) if name in "ab" else [])
+    for broken in ('[{"msgtype": "a}b"}]', '{"list": [{"msgtype": "image"}, 7 ]}', '[{"msgtype": "image"} nonsense]'):
+        with pytest.raises(Exception, match="(?i)manifest entries|malformed|parse"):
+            files.read_manifest(spark, _write(tmp_path / "broken.json", broken)).collect()
+
+
+def test_stream_progress_counts_messages(spark, folder, tmp_path):
+    raw = Domain(spark, folder)["raw_message"]
+    raw.unionByName(raw.limit(9).withColumn("message", F.lit("{broken"))).repartition(2).write.parquet(str(tmp_path / "in"))
+    feed = chat_stream.read_feed(spark, str(tmp_path / "in"), _feed_schema(), max_files=1)
+    stream = chat_stream.stream_normalize(feed, counts="messages")
+    query = chat_stream.run_available(stream, chat_stream.batch_sink(str(tmp_path / "out")), str(tmp_path / "mark"))
+    seen = [p["observedMetrics"]["messages"] for p in query.recentProgress if p["numInputRows"]]
+    total = raw.count()
+    assert [sum(m[i] for m in seen) for i in range(3)] == [total + 9, total, 9]
