@@ -7,7 +7,8 @@ the equality keys, with hot partitions of the fact side split by the skew-join r
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,6 +64,51 @@ def banded_lookup(
     return fact.join(best, cond, "left").drop("_at", *probe_names)
 
 
+@dataclass(frozen=True)
+class Bands:
+    """Effective-dated rows of one table: key, range, further equalities (fact column: band column), values (band column: name)."""
+
+    table: DataFrame
+    key: str
+    low: str
+    high: str
+    values: Mapping[str, str]
+    also: Mapping[str, str] = field(default_factory=dict)
+
+
+def _inside(bands: Bands, at: str) -> Callable[[Column], Column]:
+    def test(band: Column) -> Column:
+        found = F.col(at).between(band[bands.low], band[bands.high])
+        for mine, theirs in bands.also.items():
+            found = found & (F.col(mine) == band[theirs])
+        return found
+
+    return test
+
+
+def folded_lookups(fact: DataFrame, key: str, at: str, *tables: Bands) -> DataFrame:
+    """Several left lookups of bands that share one key, in a single join on that key.
+
+    The bands of a key, a row per change, are folded into one sorted array per table beforehand, and all tables into one row
+    a key. The fact moves once and searches the arrays in place; overlapping bands repeat its rows, as joins would.
+    """
+    cards = None
+    for i, bands in enumerate(tables):
+        entry = F.struct(bands.low, bands.high, *bands.also.values(), *bands.values)
+        own = bands.table.where(F.col(bands.key).isNotNull()).groupBy(F.col(bands.key).alias("_key"))
+        card = own.agg(F.sort_array(F.collect_list(entry)).alias(f"_bands{i}"))
+        cards = card if cards is None else cards.join(card, "_key", "full")
+    found = fact.join(cards, F.col(key) == F.col("_key"), "left")
+    kept = list(fact.columns)
+    for i, bands in enumerate(tables):
+        hits = F.filter(f"_bands{i}", _inside(bands, at))
+        values = F.transform(hits, lambda b: F.struct(*(b[v].alias(n) for v, n in bands.values.items())))
+        rest = [f"_bands{j}" for j in range(i + 1, len(tables))]
+        found = found.select(*kept, *rest, F.inline_outer(values))
+        kept.extend(bands.values.values())
+    return found
+
+
 def _all_equal(left: Sequence[str], right: Sequence[str]) -> Column:
     cond = F.col(left[0]) == F.col(right[0])
     for a, b in zip(left[1:], right[1:]):

@@ -117,10 +117,8 @@ def txn_enriched(d: Domain) -> DataFrame:
 def banded_price_lookup(d: Domain) -> DataFrame:
     lines = _lines(d).join(d["counter"].select("code", "nationality_code").distinct(), F.col("counter_code") == F.col("code"))
     keyed = transactions.with_price_list_key(lines).select("txn_nbr", "sku_id", "product_id", "txn_date", "price_list_key", "retail_price")
-    return lookups.banded_lookup(
-        keyed, d["price_list"], {"product_id": "product_key", "price_list_key": "price_list_key"},
-        "txn_date", "start_date", "end_date", {"price": "list_price"},
-    )
+    bands = lookups.Bands(d["price_list"], "product_key", "start_date", "end_date", {"price": "list_price"}, {"price_list_key": "price_list_key"})
+    return lookups.folded_lookups(keyed, "product_id", "txn_date", bands)
 
 
 @query

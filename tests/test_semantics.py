@@ -92,6 +92,17 @@ def test_banded_lookup_keeps_overlaps_and_gaps(spark):
     assert ("b", 370, 4.0) in rows(patched)
 
 
+def test_folded_lookups_equal_joins(spark):
+    """Two band tables with overlaps, gaps, a further equality, missing and null keys."""
+    fact = spark.createDataFrame([(k, a, x) for k in ("a", "b", "c", None) for a in (0, 5, 9, None) for x in (1, 2, None)], "k string, at int, x int")
+    one = spark.createDataFrame([("a", 0, 5, 1, 10), ("a", 5, 9, 1, 11), ("a", 5, 9, 2, 12), ("b", 3, 6, 2, 13), (None, 0, 9, 1, 14)], "k string, lo int, hi int, x int, v int")
+    two = spark.createDataFrame([("a", 0, 9, 20), ("a", 4, 9, 20), ("c", 9, 9, 21), ("c", 9, None, 22)], "k string, lo int, hi int, w int")
+    got = lookups.folded_lookups(fact, "k", "at", lookups.Bands(one, "k", "lo", "hi", {"v": "v"}, {"x": "x"}), lookups.Bands(two, "k", "lo", "hi", {"w": "w"}))
+    want = lookups.banded_lookup(fact, one, {"k": "k", "x": "x"}, "at", "lo", "hi", {"v": "v"})
+    want = lookups.banded_lookup(want, two, {"k": "k"}, "at", "lo", "hi", {"w": "w"})
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 def test_banded_lookup_unique_takes_latest_start(spark):
     fact = spark.createDataFrame([("a", 5), ("a", 8), ("a", 9), ("a", 10), ("a", 9)], "f string, at int")
     got = lookups.banded_lookup(fact, _bands(spark), {"f": "k"}, "at", "lo", "hi", {"v": "v"}, unique=True)
