@@ -1,6 +1,7 @@
 """Personal data: exact patterns, and a linear-chain conditional random field for what they miss.
 
-The field labels runs of words that hold a digit or an at sign; all other words are outside by definition, which
+Besides the patterns' kinds the field finds secrets, such as tokens and keys, and kinds in forms that the patterns drop.
+It labels runs of words that hold a digit or an at sign; all other words are outside by definition, which
 cuts a text into short independent chains (a label outside on both sides fixes a chain's ends). Features are the
 word's shape and those of its neighbours. It is trained by gradient on a small labelled table made from the rule in
 ``labelled_table`` and decoded by Viterbi in numpy batches of chains of one length.
@@ -19,8 +20,10 @@ from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
 OUTSIDE = 0
+#: What the field finds.
+FIELD_KINDS = (*KINDS, "secret")
 #: Labels: outside, then begin and inside of each kind.
-LABELS = ("O", *(f"{side}-{kind}" for kind in KINDS for side in "BI"))
+LABELS = ("O", *(f"{side}-{kind}" for kind in FIELD_KINDS for side in "BI"))
 
 # The patterns of the contract, with starts that cannot match stepped over.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -82,7 +85,6 @@ def base_spans(text: str) -> list[Span]:
 
 def shape(word: str) -> str:
     """The word with runs of capitals, small letters and digits as A, a and 9 (with their number up to 4 for digits)."""
-    word = word[:64]
     word = re.sub(r"[0-9]+", lambda m: "9" * min(len(m.group()), 4), word)
     return re.sub(r"[^\W\d_a-z]+", "A", re.sub(r"[^\W\d_A-Z]+", "a", word))
 
@@ -97,23 +99,28 @@ def features(word: str, before: str, after: str) -> list[str]:
     parts = core.split(".")
     return [
         "bias",
-        f"shape={shape(core)[:24]}",
+        f"shape={shape(core)}",
         f"digits={n if n < 20 else 20}",
-        f"only={core.isdigit()}",
+        f"only={digits == core}",
         f"at={core.count('@') if core.count('@') < 3 else 3}",
         f"dots={min(len(parts) - 1, 5)}",
         f"dashes={min(core.count('-'), 4)}",
         f"mail={bool(re.fullmatch(r'[^@]+@[^@]+[.][^@.]+', core))}",
-        f"quad={len(parts) == 4 and all(p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts)}",
-        f"luhn={13 <= n <= 19 and len(core) < 32 and luhn(digits)}",
+        f"quad={len(parts) == 4 and all(re.fullmatch('[0-9]{1,3}', p) and int(p) <= 255 for p in parts)}",
+        f"luhn={13 <= n <= 19 and luhn(digits)}",
+        f"hex={re.fullmatch('[0-9a-fA-F]{24,}', core) is not None and n < len(core)}",
+        f"key={re.fullmatch('[0-9A-Za-z_-]{16,}', core) is not None and n < len(core)}",
         f"plus={core.startswith('+')}",
         f"bracket={word.startswith('(') and ')' in word}",
-        f"before={before.strip(_EDGE + '.').lower()[:16]}",
-        f"before shape={shape(before)[:12]}",
-        f"after shape={shape(after)[:12]}",
+        f"before={before.strip(_EDGE + '.').lower()}",
+        f"before shape={shape(before)}",
+        f"after shape={shape(after)}",
     ]
 
 
+HEX = "0123456789abcdef"
+
+
 def labelled_table(copies: int = 40, seed: int = 5) -> list[list[tuple[str, str]]]:
     """Short labelled texts, made by a rule: each kind in several forms and places, and numbers that are none of them."""
     rng = np.random.Generator(np.random.Philox(seed))
@@ -125,6 +132,9 @@ def labelled_table(copies: int = 40, seed: int = 5) -> list[list[tuple[str, str]
         body = number(15)
         return next(body + str(d) for d in range(10) if luhn(body + str(d)))
 
+    def letters(n: int, alphabet: str) -> str:
+        return "".join(alphabet[i] for i in rng.integers(0, len(alphabet), n))
+
     def tagged(kind: str, words: list[str]) -> list[tuple[str, str]]:
         return [(w, ("B-" if i == 0 else "I-") + kind) for i, w in enumerate(words)]
 
@@ -134,7 +144,7 @@ def labelled_table(copies: int = 40, seed: int = 5) -> list[list[tuple[str, str]
     texts = []
     for k in range(copies):
         c, line = card(), number(4)
-        area, three = str(rng.integers(200, 999)), f"555"
+        area, three, marks = str(rng.integers(200, 999)), "555", ("", "!!", "###", "$$$")[k % 4]
         octets = ".".join(str(x) for x in rng.integers(0, 256, 4))
         mail = f"{'abcdefgh'[k % 8]}{number(2)}.lee@mail{k % 9}.example.org"
         texts += [
@@ -152,7 +162,12 @@ def labelled_table(copies: int = 40, seed: int = 5) -> list[list[tuple[str, str]
             plain("in", str(rng.integers(1900, 2030)), "about", f"{rng.integers(1, 99)}%", "of", f"{number(3)},{number(3)}"),
             plain("version", f"{k % 7}.{k % 5}", "of", "the", "licence", f"{k % 9}.{k % 4}.{k % 6}."),
             plain("order", number(16 if luhn("1") else 15)[:15], "costs", f"{number(2)}.{number(2)}", "dollars"),
-            plain("token", "=", f'"{number(2)}ab{number(3)}c{number(5)}f{number(4)}e{number(6)}"', "here"),
+            plain("token", "=") + tagged("secret", [f'"{letters(40, HEX)}"' + marks]) + plain("here"),
+            plain("API_KEY:") + tagged("secret", [letters(32, HEX).upper()]) + plain("and", "more"),
+            plain("secret", "=") + tagged("secret", [f"'{letters(24, HEX + 'ghijkXYZ')}7'"]) + plain("|"),
+            plain("Des") + tagged("phone", ["+1", f"({area})", f"{three}-{line}"]) + tagged("ip", [octets]) + plain("du"),
+            plain("los") + tagged("phone", ["+1", f"({area})", f"{three}-{line}"]) + plain(number(16)[:15] + "x", "se"),
+            plain("build", letters(7, HEX) + "1", "of", "rev", "a" + number(3), "and", f"x{number(2)}y"),
             plain("it's", f"{rng.integers(1, 12)}:{rng.integers(10, 59)}", "on", f"{rng.integers(10, 28)}/0{rng.integers(1, 9)}/{rng.integers(1990, 2029)}"),
             plain("see", "@user" + number(2), "page", number(3), "line", number(2)),
             plain("id", next(c[:15] + str(d) for d in range(10) if not luhn(c[:15] + str(d))), "and", number(6)),
@@ -295,21 +310,26 @@ def chains_of(text: str) -> Iterator[list[tuple[int, int, str, str]]]:
         yield _with_neighbours(text, chain)
 
 
-def _with_neighbours(text: str, chain: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str, str]]:
-    head, tail = text[max(0, chain[0][0] - 80) : chain[0][0]].split(), text[chain[-1][1] : chain[-1][1] + 80].split()
-    words = [head[-1] if head else "", *(text[a : min(b, a + 256)] for a, b, _, _ in chain), tail[0] if tail else ""]
-    return [(a, b, words[i], words[i + 2]) for i, (a, b, _, _) in enumerate(chain)]
+def _word_before(text: str, at: int) -> str:
+    while at and text[at - 1] in _WHITE:
+        at -= 1
+    start = at
+    while start and text[start - 1] not in _WHITE:
+        start -= 1
+    return text[start:at]
+
 
+_NEXT = re.compile(r"[^\x20\x09-\x0D]+")
 
-def _plausible(kind: str, found: str) -> bool:
-    n = len(_digits(found))
-    if kind == "email":
-        return re.fullmatch(r"[^@\s]+@[^@\s]+\.[^@\s.]+", found) is not None
-    if kind == "ip":
-        return re.fullmatch(r"[0-9]{1,3}(\.[0-9]{1,3}){3}", found) is not None
-    if kind == "card":
-        return 13 <= n <= 19 and luhn(_digits(found))
-    return 7 <= n <= 15 and not re.search(r"[A-Za-z]", found)
+
+def _word_after(text: str, at: int) -> str:
+    found = _NEXT.search(text, at)
+    return found.group() if found else ""
+
+
+def _with_neighbours(text: str, chain: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str, str]]:
+    words = [_word_before(text, chain[0][0]), *(text[a:b] for a, b, _, _ in chain), _word_after(text, chain[-1][1])]
+    return [(a, b, words[i], words[i + 2]) for i, (a, b, _, _) in enumerate(chain)]
 
 
 def field_spans(texts: list[str], field: Field) -> list[list[Span]]:
@@ -320,7 +340,7 @@ def field_spans(texts: list[str], field: Field) -> list[list[Span]]:
             for chain in chains_of(text):
                 chains.append(chain)
                 owners.append(i)
-    labels = field.decode([[features(texts[i][a : min(b, a + 256)], x, y) for a, b, x, y in chain] for i, chain in zip(owners, chains, strict=True)])
+    labels = field.decode([[features(texts[i][a:b], x, y) for a, b, x, y in chain] for i, chain in zip(owners, chains, strict=True)])
     out: list[list[Span]] = [[] for _ in texts]
     for i, chain, tags in zip(owners, chains, labels, strict=True):
         k = 0
@@ -334,7 +354,7 @@ def field_spans(texts: list[str], field: Field) -> list[list[Span]]:
                 found = texts[i][start:end]
                 core = found.strip(_EDGE + "." if kind != "phone" else "\"'[]{}<>,;:!?*#$%&|.")
                 start += found.find(core) if core else 0
-                if core and len(core) < 256 and _plausible(kind, core):
+                if core:
                     out[i].append((kind, start, start + len(core)))
             k = stop
     return out
@@ -347,7 +367,7 @@ def all_spans(texts: list[str], field: Field | None) -> list[tuple[list[Span], l
     for text, added in zip(texts, more, strict=True):
         base = base_spans(text)
         new = [s for s in added if all(s[2] <= b[1] or b[2] <= s[1] for b in base)]
-        order = sorted(base + new, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
+        order = sorted(base + new, key=lambda s: (FIELD_KINDS.index(s[0]), s[1], s[2]))
         out.append((sorted(base, key=lambda s: (KINDS.index(s[0]), s[1])), order))
     return out
 
@@ -371,6 +391,7 @@ def _find(field: Field | None):
 def find_personal_data(docs: DataFrame, field: Field | None, text: str = "text", id: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, the number of base spans of each kind, base_sha256, and all spans.
 
+    Spans are written kind:start:end, by kind (those of the patterns first, then ``secret``) and start.
     Null text is empty and has no spans. Offsets are code points, ends exclusive. Rows repeated with one id are searched
     one by one. An empty table gives no rows; other columns are ignored.
     """
