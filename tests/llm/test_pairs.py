@@ -109,3 +109,19 @@ def test_word_hashes_follow_the_words(monkeypatch):
     monkeypatch.setattr(words, "SLICE", 13)
     assert (word_hashes(text.encode()) == whole).all()
     assert len(shingle_set(b" \n", 3)) == 0 and len(shingle_set(b"a b", 3)) == 1
+
+
+@pytest.mark.parametrize("max_bits", [1 << 30, 256])
+def test_ids_that_may_be_in_a_set(spark, max_bits):
+    """All ids of the set pass, few others do where the filter has room, null does not."""
+    from shopfloor.llm.id_filter import id_bits, passing
+
+    rows = spark.range(-3000, 3000).select("id").union(spark.sql("SELECT CAST(NULL AS BIGINT)"))
+    ids = spark.range(-3000, 3000, 7)
+    bits = id_bits(ids, max_bits)
+    passed = {r[0] for r in passing(rows, "id", bits).collect()}
+    others = {r[0] for r in passing(rows, "id", bits, passes=False).collect()}
+    assert not passed & others and len(passed) + len(others) == rows.count() and None in others
+    wanted = set(range(-3000, 3000, 7))
+    assert wanted <= passed and None not in passed and (max_bits < 1024 or len(passed) < len(wanted) + 60)
+    assert passing(rows, "id", id_bits(ids.limit(0))).collect() == []
