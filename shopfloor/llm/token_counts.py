@@ -6,13 +6,14 @@ space follows a character that is not white space. No piece of the pre-tokenizer
 added token contains white space, so what comes before cannot change what comes after. Where an overlap has no
 common stable boundary, it is doubled and encoded again, up to the whole rest of the text.
 
-Inside a chunk the same property lets words be encoded once per task: a run from one stable place to the next
-always gives the same tokens.
+For a text of one chunk the same property lets words be encoded once per task: a run from one stable place to the
+next always gives the same tokens.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -73,28 +74,32 @@ def _stable(text: str, at: int) -> bool:
 
 
 def count_tokens_long(text: str, encoder: Encoder, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
-    """Tokens of a text of any length, by overlapping chunks spliced at stable common boundaries."""
-    total, start = 0, 0
-    while True:
-        stop = start + chunk
-        if stop >= len(text):
-            return total + encoder.count(text[start:])
-        width, splice = overlap, None
-        while splice is None:
-            low = max(start + 1, stop - width)
-            high = min(len(text), stop + width)
-            if low == start + 1 and high == len(text):
-                return total + encoder.count(text[start:])
-            # Only the tokens in the overlap are aligned; those of the left chunk start at the last stable place before it.
-            left_from = next((i for i in range(low, max(start, low - 4096), -1) if _stable(text, i)), start)
-            left = {left_from + e for e in encoder.ends(text[left_from:high])}
-            right = {low + e for e in encoder.ends(text[low:high])} | {low}
-            edge = high - width // 4  # the last tokens of a chunk may change with what follows
-            common = [i for i in sorted(left & right) if i <= edge and _stable(text, i)]
-            splice = common[len(common) // 2] if common else None
+    """Tokens of a text of any length, by overlapping chunks spliced at stable common boundaries.
+
+    Each chunk is encoded once, with offsets. Its tokens count from the splice with its left neighbour up to the one
+    with its right neighbour. Where an overlap aligns nowhere, both chunks grow into one another and are encoded again.
+    """
+    total, low, start = 0, 0, 0  # the current chunk begins at ``low``; its tokens count from ``start``
+    stop = min(len(text), chunk)
+    left = encoder.ends(text[:stop])
+    while stop < len(text):
+        width = overlap
+        while True:
+            at, reach = max(start + 1, stop - width), min(len(text), max(stop, stop - width + chunk))
+            right = [at + e for e in encoder.ends(text[at:reach])]
+            edge = stop if stop == len(text) else stop - width // 4  # the last tokens of a chunk may change with what follows
+            common = [i for i in sorted({at, *right}.intersection(low + e for e in left)) if start < i <= edge and _stable(text, i)]
+            if common or stop == len(text):
+                break
             width *= 2
-        total += encoder.count(text[start:splice])
-        start = splice
+            stop = min(len(text), stop + width)
+            left = encoder.ends(text[low:stop])
+        if not common:  # no boundary anywhere: the left chunk holds the whole rest
+            break
+        splice = common[len(common) // 2]
+        total += bisect_right(left, splice - low) - bisect_right(left, start - low)
+        low, start, stop, left = at, splice, reach, [e - at for e in right]
+    return total + len(left) - bisect_right(left, start - low)
 
 
 def token_counts(docs: DataFrame, path: str, text: str = "text", id: str = "doc_id", limit: int = 1024) -> DataFrame:
