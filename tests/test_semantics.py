@@ -452,3 +452,47 @@ def test_fact_counts_products_of_equal_look_once(spark, folder):
     unseen = src.products.withColumn("upc_code", F.lit("other")).withColumn("sku", F.lit("other"))
     plain = transactions.transaction_fact(src).count()
     assert transactions.transaction_fact(replace(src, products=src.products.unionByName(unseen))).count() == plain
+
+
+def _shuffled_by_product(df):
+    """Whether lines are below an exchange by product, in the plan without adaptive execution and broadcasts."""
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: df.sparkSession.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            df.sparkSession.conf.set(k, v)
+        plan = df.select("*")._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        for k, v in before.items():
+            df.sparkSession.conf.set(k, v)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-|*()0123456789"))
+    for i, line in enumerate(plan):
+        if "Exchange hashpartitioning(product_id" in line:
+            below = next((j for j in range(i + 1, len(plan)) if depth(plan[j]) <= depth(line)), len(plan))
+            if any("l_orderkey" in x for x in plan[i:below]):
+                return True
+    return False
+
+
+@pytest.mark.parametrize("name", ["txn_enriched", "comparable_store", "txn_final"])
+def test_lines_are_never_shuffled_by_product(spark, folder, name):
+    """All unresolved lines have one product, which would land in one task."""
+    from shopfloor.registry import QUERIES
+
+    assert not _shuffled_by_product(QUERIES[name](spark, folder.replace("sf0.01", "sf0.001")))
+
+
+def test_places_by_number_equal_the_days_joined_whole(spark):
+    """Several places of a counter, places that repeat, null columns, a counter without days."""
+    days = spark.createDataFrame(
+        [("a", d, 4, s, c, r) for d in (1, 2) for s, c, r in (("a", "CNY", "x"), ("a", "CNY", None), ("a", None, "x"), ("a", "CNY", "x"))] + [("b", 1, 5, "b", "HKD", None)],
+        "counter_code string, txn_date int, price_list_key int, store_nbr string, local_currency string, region_desc string",
+    )
+    lines = spark.createDataFrame([("a", 1, 10), ("a", 2, 11), ("a", 3, 12), ("b", 1, 13), ("b", 1, 13), (None, 1, 14)], "counter_code string, txn_date int, n int")
+    narrow, places = transactions.split_places(days)
+    assert "store_nbr" not in narrow.columns and places.count() == 4
+    packed = narrow.select("counter_code", "txn_date", F.struct("price_list_key", "_place").alias(transactions.DAY))
+    got = transactions.unpack_day(transactions.with_places(lines.join(packed, ["counter_code", "txn_date"]), places))
+    want = lines.join(days, ["counter_code", "txn_date"])
+    shown = ["counter_code", "txn_date", "n", "price_list_key", "store_nbr", "local_currency", "region_desc"]
+    assert sorted(map(str, got.select(*shown).collect())) == sorted(map(str, want.select(*shown).collect()))
