@@ -208,6 +208,22 @@ def test_samples_come_as_often_as_they_should():
         assert inclusion[i] / n == pytest.approx(p[i], abs=0.04)
 
 
+def test_lattices_met_again_are_kept_and_change_no_sample(monkeypatch):
+    rng = random.Random(9)
+    often = ["".join(rng.choices("aehinorst", k=7)) for _ in range(30)]
+    texts = [" ".join([*often, *("".join(rng.choices("aehinorst", k=9)) for _ in range(40))]) for _ in range(12)]
+    alone = [segmentation.sample_segmentations(segmentation.Lattices(MODEL, segmentation.ALPHA), [t], [i])[0] for i, t in enumerate(texts)]
+    monkeypatch.setattr(segmentation, "REMEMBERED", 100)
+    monkeypatch.setattr(segmentation, "BUILT", 90, raising=False)
+    lattices, built = segmentation.Lattices(MODEL, segmentation.ALPHA), collections.Counter()
+    add = lattices._add
+    monkeypatch.setattr(lattices, "_add", lambda runs: (built.update(runs), add(runs))[1])
+    together = [segmentation.sample_segmentations(lattices, [t], [i])[0] for i, t in enumerate(texts)]
+    as_plain = lambda got: [(ids.tolist(), *rest) for ids, *rest in got]
+    assert [as_plain(g) for g in together] == [as_plain(g) for g in alone]
+    assert len(lattices.first) < 250 and max(built.values()) == 1
+
+
 def test_segmentations_of_awkward_texts(spark, rows):
     model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     rows = rows[:60] + _awkward() + [(800_000, "w" * 120_000, "en", "s", 1, 2, "3", 4), (800_001, "a ▁ b", "en", "s", 1, 2, "3", 4)]
