@@ -454,8 +454,8 @@ def test_fact_counts_products_of_equal_look_once(spark, folder):
     assert transactions.transaction_fact(replace(src, products=src.products.unionByName(unseen))).count() == plain
 
 
-def _shuffled_by_product(df):
-    """Whether lines are below an exchange by product, in the plan without adaptive execution and broadcasts."""
+def _shuffled_by_product(df, key="product_id", mark="l_orderkey"):
+    """Whether lines are below an exchange by product, or another key, in the plan without adaptive execution and broadcasts."""
     conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
     before = {k: df.sparkSession.conf.get(k) for k in conf}
     try:
@@ -467,9 +467,9 @@ def _shuffled_by_product(df):
             df.sparkSession.conf.set(k, v)
     depth = lambda line: len(line) - len(line.lstrip(" :+-|*()0123456789"))
     for i, line in enumerate(plan):
-        if "Exchange hashpartitioning(product_id" in line:
+        if f"Exchange hashpartitioning({key}" in line:
             below = next((j for j in range(i + 1, len(plan)) if depth(plan[j]) <= depth(line)), len(plan))
-            if any("l_orderkey" in x for x in plan[i:below]):
+            if any(mark in x for x in plan[i:below]):
                 return True
     return False
 
@@ -482,6 +482,34 @@ def test_lines_are_never_shuffled_by_product(spark, folder, name):
     assert not _shuffled_by_product(QUERIES[name](spark, folder.replace("sf0.01", "sf0.001")))
 
 
+def test_priced_lines_of_the_fact_are_not_shuffled_again(spark, folder):
+    """The order numbers come with the headers, and the DISTINCT runs where the SKU join left the lines."""
+    from shopfloor.registry import QUERIES
+
+    assert not _shuffled_by_product(QUERIES["txn_final"](spark, folder.replace("sf0.01", "sf0.001")), "txn_nbr", "local_msrp")
+
+
+def test_equal_lines_of_several_codes_count_once(spark, folder):
+    """A SKU id with two codes, and lines without a number: equal lines lie in several partitions of the SKU join."""
+    from dataclasses import replace
+
+    from shopfloor import registry
+    from shopfloor.bindings import Domain
+
+    src = registry._txn_sources(Domain(spark, folder.replace("sf0.01", "sf0.001")))
+    assert transactions.one_code_a_line(src)
+    twice = lambda df: df.unionByName(df.withColumn("sku_code", F.concat(F.lit("T"), "sku_code")))
+    twins = replace(src, details=twice(src.details), sku_lookup=twice(src.sku_lookup), skus=twice(src.skus))
+    assert not transactions.one_code_a_line(twins)
+    assert transactions.transaction_fact(twins).count() == transactions.transaction_fact(src).count()
+
+    few = src.details.where("local_txn_amount % 7 < 3").withColumn("local_txn_amount", F.lit(9).cast("decimal(12,2)")).withColumn("usd_txn_amount", F.lit(2).cast("decimal(12,2)"))
+    nameless = replace(src, headers=src.headers.withColumn("id", F.lit(None).cast("bigint")), details=few)
+    assert not transactions.one_code_a_line(nameless)
+    stored = transactions.transaction_fact(nameless, stage=lambda df, name: df)
+    assert transactions.transaction_fact(nameless).exceptAll(stored).count() == 0 and transactions.transaction_fact(nameless).count() == stored.count()
+
+
 def test_places_by_number_equal_the_days_joined_whole(spark):
     """Several places of a counter, places that repeat, null columns, a counter without days."""
     days = spark.createDataFrame(
