@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shopfloor.llm import exact_dedup, mixing, ngram_join, quality_rules, segmentation
 from shopfloor.llm.queries import tokenizer_file
-from shopfloor.llm.shared import shared_folder, table
+from shopfloor.llm.shared import free_shuffles, shared_folder, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -62,4 +62,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{k}-{name}")
         docs = spark.read.parquet(f"{base}/{k}-{name}")
+        free_shuffles(spark)
     return docs
