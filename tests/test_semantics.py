@@ -524,3 +524,43 @@ def test_places_by_number_equal_the_days_joined_whole(spark):
     want = lines.join(days, ["counter_code", "txn_date"])
     shown = ["counter_code", "txn_date", "n", "price_list_key", "store_nbr", "local_currency", "region_desc"]
     assert sorted(map(str, got.select(*shown).collect())) == sorted(map(str, want.select(*shown).collect()))
+
+
+def test_lines_carry_no_column_that_the_row_tells(spark, folder):
+    """What is shuffled by SKU: fiscal keys within the year, and numbers of the transaction only where the row tells none of them."""
+    from shopfloor import registry
+    from shopfloor.bindings import Domain
+
+    src = registry._txn_sources(Domain(spark, folder.replace("sf0.01", "sf0.001")))
+    seen = []
+    stored = transactions.transaction_fact(src, stage=lambda df, name: seen.append(df) or df)
+    day = {f.name: f.dataType.simpleString() for f in seen[0].schema[transactions.DAY].dataType.fields}
+    assert "string" not in day.values() and not {"comp_year_ty", "comp_year_ly", "fisc_year_day_num", "fisc_year_week"} & set(day)
+    assert transactions.transaction_fact(src).exceptAll(stored).count() == 0
+
+    at = dt.datetime(2024, 3, 5, 9)
+    numbers = spark.createDataFrame(
+        [(1, "K1", at - dt.timedelta(5), 5, 3, 3, None, None, 1, 1), (2, "K2", at - dt.timedelta(2), 9, 4, 2, at, 0, 2, 2), (2, "K3", None, None, 1, 1, None, None, None, None)],
+        "txn_nbr long, customer_id string, cust_prev_txn_datetime timestamp, days_since_cust_prev_txn int, txn_rn int, txn_drn int,"
+        " cust_prev_pur_datetime timestamp, days_since_cust_prev_pur int, pur_rn int, pur_drn int",
+    )
+    rows = spark.createDataFrame([(1, "K1", at), (2, "K2", at), (2, None, at), (3, "K4", at), (1, "K1", None)], "txn_nbr long, customer_id string, txn_datetime timestamp")
+    packed = transactions.with_numbers(rows, numbers)
+    kept = {(r["txn_nbr"], r["customer_id"], r["txn_datetime"]): r[transactions.NUMBERS] for r in packed.collect() if r["txn_nbr"] == 1}
+    assert [kept[1, "K1", at][x] for x in ("customer_id", "days_since_cust_prev_txn", "txn_drn")] == [None] * 3
+    assert kept[1, "K1", None]["days_since_cust_prev_txn"] == 5
+    n = transactions.whole_numbers()
+    names = [x for x in numbers.columns if x != "txn_nbr"]
+    got = packed.select("txn_nbr", F.col("customer_id").alias("own"), "txn_datetime", *(n(x) for x in names))
+    want = rows.withColumnRenamed("customer_id", "own").join(numbers, "txn_nbr", "left").withColumn("customer_id", F.coalesce("customer_id", "own"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(got.columns).collect()))
+
+
+def test_dollars_of_the_source_where_no_rate_is_pegged(spark):
+    """The fact carries them only there; amounts are the same as with all of them carried."""
+    headers = spark.createDataFrame([(1, "P1", "K1", "A", (None,)), (2, "P2", "K1", "A", (2.0,))], "id long, purchase_code string, customer_id string, counter_code string, _day_of_store struct<_peg:double>")
+    headers = headers.withColumn("txn_datetime", F.lit(dt.datetime(2024, 1, 1)))
+    details = spark.createDataFrame([(p, "S", 10.0, 7.0, 1, None, 0) for p in ("P1", "P2")], "purchase_code string, sku_code string, local_txn_amount double, usd_txn_amount double, item_sold_qty int, retail_price double, return_flag int")
+    skus = spark.createDataFrame([(5, "S", 9)], "sku_id long, sku_code string, product_id long")
+    carried = {spare: {r["txn_nbr"]: r["usd_txn_amount"] for r in transactions.txn_lines(headers, details, skus, spare_usd=spare).collect()} for spare in (False, True)}
+    assert carried == {False: {1: 7.0, 2: 7.0}, True: {1: 7.0, 2: None}}
